@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,11 +31,36 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     The folder is read from the session; a folder of our own is used only where the setting is absent (tests, one machine).
     The files outlive executors, so a lost executor costs no recomputation of the part before the cut.
     """
-    spark = df.sparkSession
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and intermediate tables, which all executors share."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusweave_ckpt_"))
-    return df.checkpoint(eager)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+class Stage:
+    """The state of an iteration as a table in the shared folder, replaced at every pass.
+
+    A checkpoint carries the size estimate of the plan before it; over many passes these estimates multiply without limit.
+    A written table is estimated by its files. ``put`` drops the table before the last, which nothing reads any more.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root, self.kept = spark, f"{shared_folder(spark)}/stage_{uuid.uuid4().hex}", []
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}_{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.kept.append(path)
+        while len(self.kept) > 2:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(self.kept.pop(0))
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
