@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusweave.llm.mixing import Mix
+from corpusweave.llm.percentiles import DIGITS, daily_counts, latest, percentiles
+from corpusweave.llm.proportions import TargetSample
 from corpusweave.llm.tokenizer import encode_corpus, token_counts
+from corpusweave.llm.variety import varied_subset
 from corpusweave.session import read_table
 
 QUERIES: dict = {}
@@ -49,3 +52,88 @@ def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
 def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     """Target and reached share of every listed source."""
     return _mix(spark, sf).report()
+
+
+def _sample(spark: SparkSession, sf: str) -> TargetSample:
+    return TargetSample(read_table(spark, sf, "subset_100k_index"), "obs_name", read_table(spark, sf, "subset_targets"))
+
+
+@query
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Categories whose target or minimum cannot be met."""
+    return _sample(spark, sf).report().filter("unmet").select("field_name", "category")
+
+
+@query
+def p2_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """A fifth of the distinct samples for each field, drawn to the targets of the field."""
+    return _sample(spark, sf).sample().withColumnsRenamed({"id": "obs_name", "sample": "field_name"})
+
+
+@query
+def p2_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Available, wanted and drawn records of every target."""
+    return _sample(spark, sf).report().drop("sample")
+
+
+@query
+def p2_joint(spark: SparkSession, sf: str) -> DataFrame:
+    """One sample raked to all four fields, whose targets contradict each other in part: the report of its shares."""
+    return TargetSample(read_table(spark, sf, "subset_100k_index"), "obs_name", read_table(spark, sf, "subset_targets"), joint=True).report().drop("sample")
+
+
+_NA = "case when lower(trim(coalesce({0}, ''))) in ('', '-', 'nan', 'none', '<na>', 'na') then 'NA' else upper(trim({0})) end"
+_FIELDS = ("overview_bucket", "ma_bucket_detail", "rm_site", "stratum_id")
+SQL["p2_found"] = (
+    "with v as ("
+    + " union ".join(f"select '{f}' as field_name, {_NA.format(f)} as k, obs_name from subset_100k_index where obs_name is not null" for f in _FIELDS)
+    + "), n as (select floor(count(distinct obs_name) / 5) as n from subset_100k_index), a as (select field_name, k, count(*) as have from v group by 1, 2) "
+    "select t.field_name, t.category from subset_targets t cross join n left join a on a.field_name = t.field_name and a.k = upper(trim(t.category)) "
+    "where coalesce(have, 0) < target_permille * n / 1000 or coalesce(have, 0) < min_rows"
+)
+
+METRICS = ("total_reads", "n_taxa")
+PROBS = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
+
+
+def _days(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_counts(latest(read_table(spark, sf, "mcfcorpus_gg2"), "obs_name", "computed_at", "loaded_at", "Database", METRICS), METRICS)
+
+
+@query
+def p6_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Percentiles per database, day and metric."""
+    return percentiles(_days(spark, sf), ("grp", "day", "metric"), PROBS).withColumnRenamed("grp", "database")
+
+
+@query
+def p6_overall(spark: SparkSession, sf: str) -> DataFrame:
+    """Percentiles per database and metric over all days, from the counts of the days."""
+    return percentiles(_days(spark, sf), ("grp", "metric"), PROBS).withColumnRenamed("grp", "database")
+
+
+def _percentile_sql(keys: str) -> str:
+    one = "select obs_name, {m} from (select *, row_number() over (partition by obs_name order by loaded_at desc, total_reads desc nulls last, n_taxa desc nulls last, computed_at) as r from mcfcorpus_gg2) where r = 1"
+    rows = one.format(m="case when lower(trim(coalesce(\"Database\", ''))) in ('', '-', 'nan', 'none', '<na>', 'na') then '(none)' else upper(trim(\"Database\")) end as database, cast(computed_at as date) as day, total_reads, n_taxa")
+    step = f"case when len(cast(v as varchar)) <= {DIGITS} then 1 else cast(rpad('1', cast(len(cast(v as varchar)) - {DIGITS} + 1 as integer), '0') as bigint) end"
+    picks = ", ".join(f"max(case when r = greatest(1, ceil(round({p} * n, 6))) then q end) as p{round(p * 100):02d}" for p in PROBS)
+    return f"""with o as ({rows}), l as (select database, day, 'total_reads' as metric, total_reads as v from o union all select database, day, 'n_taxa', n_taxa from o),
+s as (select {keys}, count(*) filter (v >= 0) as n, count(*) filter (v is null) as n_null, count(*) filter (v < 0) as n_negative from l group by all),
+k as (select {keys}, v - v % ({step}) + case when {step} > 1 then ({step}) / 2 else 0 end as q, row_number() over (partition by {keys} order by v) as r, count(*) over (partition by {keys}) as n from l where v >= 0),
+p as (select {keys}, {picks} from k group by all)
+select {keys}, n, n_null, n_negative, {", ".join(f"p{round(p * 100):02d}" for p in PROBS)} from s left join p using ({keys})"""
+
+
+SQL["p6_daily"] = _percentile_sql("database, day, metric")
+SQL["p6_overall"] = _percentile_sql("database, metric")
+
+VARIETY = ("Project_ID", "MA_Env_Animal_Sub", "RM_Sample_Site")
+
+
+@query
+def p4_varied(spark: SparkSession, sf: str) -> DataFrame:
+    """One fiftieth of the distinct samples, chosen for variety.
+
+    The clusters are kinds of samples by environment and site; the quota of each is dealt out over its projects in rounds.
+    """
+    return varied_subset(read_table(spark, sf, "merged_gg2_with_phylo"), "obs_name", VARIETY, share=0.02, k=128, weights=(0.0, 1.0, 1.0)).withColumnRenamed("id", "obs_name")
