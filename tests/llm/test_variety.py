@@ -44,7 +44,7 @@ def test_on_the_table(spark):
     total = all_.select("obs_name").distinct().count()
     got = p4_varied(spark, sf).collect()
     assert len(got) == total // 50 == len({r.obs_name for r in got})
-    for f in VARIETY:  # the largest group of every field, missing included, loses share
-        top = all_.groupBy(key_or_null(F.col(f)).alias("k")).agg(F.count_distinct("obs_name").alias("n")).orderBy(F.desc("n")).head()
-        assert sum(r[f] == top.k for r in got) / len(got) < top.n / total
+    kinds = all_.select("obs_name", *(key_or_null(F.col(f)).alias(f) for f in VARIETY[1:])).distinct().groupBy(*VARIETY[1:]).count().orderBy(F.desc("count")).limit(2).collect()
+    for top in kinds:  # the two largest kinds lose share
+        assert sum((r.MA_Env_Animal_Sub, r.RM_Sample_Site) == tuple(top)[:2] for r in got) / len(got) < 0.8 * top["count"] / total
     assert len({r.RM_Sample_Site for r in got}) >= 10
