@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusweave.llm.mixing import Mix
 from corpusweave.llm.percentiles import DIGITS, daily_counts, latest, percentiles
 from corpusweave.llm.proportions import TargetSample
 from corpusweave.llm.tokenizer import encode_corpus, token_counts
+from corpusweave.llm.truncation import judge_documents
 from corpusweave.llm.variety import varied_subset
 from corpusweave.session import read_table
 
@@ -137,3 +139,20 @@ def p4_varied(spark: SparkSession, sf: str) -> DataFrame:
     The clusters are kinds of samples by environment and site; the quota of each is dealt out over its projects in rounds.
     """
     return varied_subset(read_table(spark, sf, "merged_gg2_with_phylo"), "obs_name", VARIETY, share=0.02, k=128, weights=(0.0, 1.0, 1.0)).withColumnRenamed("id", "obs_name")
+
+
+def _judged(spark: SparkSession, sf: str) -> DataFrame:
+    return judge_documents(read_table(spark, sf, "documents"))
+
+
+@query
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents whose text was cut before its end."""
+    return _judged(spark, sf).filter("cut").select("doc_id")
+
+
+@query
+def p9_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents, cut documents and their share per source."""
+    n = _judged(spark, sf).groupBy("source").agg(F.count("*").alias("n_docs"), F.count_if("cut").alias("n_cut"))
+    return n.withColumn("share_cut", F.round(F.col("n_cut") / F.col("n_docs"), 6))
