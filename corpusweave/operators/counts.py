@@ -36,8 +36,8 @@ def quality_control(f: DataFrame, min_reads: int = 1000, min_features: int = 5,
     if keep is not None:
         f = f.join(keep.select("feature").distinct(), "feature", "left_semi")
     w = W.partitionBy("sample")
-    out = f.withColumn("_t", F.sum("n").over(w)).withColumn("_k", F.count("*").over(w))
-    return out.filter((F.col("_t") >= min_reads) & (F.col("_k") >= min_features)).drop("_t", "_k")
+    out = f.withColumn("__cw_t", F.sum("n").over(w)).withColumn("__cw_k", F.count("*").over(w))
+    return out.filter((F.col("__cw_t") >= min_reads) & (F.col("__cw_k") >= min_features)).drop("__cw_t", "__cw_k")
 
 
 def shares(f: DataFrame) -> DataFrame:
@@ -82,8 +82,8 @@ def first_rows(df: DataFrame, key: str, *order: str) -> DataFrame:
     """The first row of every key: a minimum over a struct, so that no key is gathered or sorted."""
     cols = [c for c in df.columns if c != key]
     rest = [c for c in cols if c not in order]
-    best = df.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("_r"))
-    return best.select(key, *(F.col(f"_r.{c}").alias(c) for c in cols))
+    best = df.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("__cw_r"))
+    return best.select(key, *(F.col(f"__cw_r.{c}").alias(c) for c in cols))
 
 
 def non_null_rates(df: DataFrame) -> DataFrame:

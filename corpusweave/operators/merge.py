@@ -55,8 +55,8 @@ def expand_vocabulary(features: DataFrame, vocabulary: DataFrame, key: str = "fe
 
 def cross_source_ids(df: DataFrame, run: str, source: str) -> DataFrame:
     """Adds ``pair_id``: the run where it occurs in at least two sources, else NULL."""
-    shared = df.filter(F.col(run).isNotNull()).groupBy(run).agg(F.count_distinct(source).alias("_n")).filter(F.col("_n") >= 2).select(F.col(run).alias("_run"))
-    return df.join(shared, F.col(run) == F.col("_run"), "left").withColumn("pair_id", F.col("_run")).drop("_run")
+    shared = df.filter(F.col(run).isNotNull()).groupBy(run).agg(F.count_distinct(source).alias("__cw_n")).filter(F.col("__cw_n") >= 2).select(F.col(run).alias("__cw_run"))
+    return df.join(shared, F.col(run) == F.col("__cw_run"), "left").withColumn("pair_id", F.col("__cw_run")).drop("__cw_run")
 
 
 def schema_difference(left: Sequence[str], right: Sequence[str]) -> dict[str, list[str]]:
@@ -71,15 +71,15 @@ def duplicates(df: DataFrame, key: str) -> DataFrame:
 def apply_patch(base: DataFrame, patch: DataFrame, key: str) -> DataFrame:
     """The patch's columns replace those of the rows with its keys, NULLs included; other rows stay as they are."""
     cols = [c for c in patch.columns if c != key and c in base.columns]
-    p = patch.select(key, *(F.col(c).alias(f"_p_{c}") for c in cols), F.lit(True).alias("_hit"))
+    p = patch.select(key, *(F.col(c).alias(f"__cw_p_{c}") for c in cols), F.lit(True).alias("__cw_hit"))
     out = base.join(p, key, "left")
-    return out.select(*(F.when(F.col("_hit"), F.col(f"_p_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in base.columns))
+    return out.select(*(F.when(F.col("__cw_hit"), F.col(f"__cw_p_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in base.columns))
 
 
 def audit(before: DataFrame, after: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """``column_name, changed``: rows per column whose value differs, NULL being equal to NULL."""
-    j = before.select(key, *(F.col(c).alias(f"_b_{c}") for c in cols)).join(after.select(key, *cols), key)
-    one = j.agg(*(F.count_if(~F.col(f"_b_{c}").eqNullSafe(F.col(c))).alias(c) for c in cols))
+    j = before.select(key, *(F.col(c).alias(f"__cw_b_{c}") for c in cols)).join(after.select(key, *cols), key)
+    one = j.agg(*(F.count_if(~F.col(f"__cw_b_{c}").eqNullSafe(F.col(c))).alias(c) for c in cols))
     return one.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("changed")) for c in cols))))
 
 
@@ -90,8 +90,8 @@ def number_rows(df: DataFrame, *order: str) -> DataFrame:
     """
     from corpusweave.session import cut_lineage
 
-    placed = cut_lineage(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.select("_part", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    out = placed.withColumn("_rn", F.row_number().over(W.partitionBy("_part").orderBy(*order))).join(F.broadcast(before), "_part")
-    return out.select(*df.columns, (F.col("_rn") + F.col("_before")).alias("row_number"))
+    placed = cut_lineage(df.repartitionByRange(*order).withColumn("__cw_part", F.spark_partition_id()))
+    sizes = placed.groupBy("__cw_part").agg(F.count("*").alias("__cw_n"))
+    before = sizes.select("__cw_part", F.coalesce(F.sum("__cw_n").over(W.orderBy("__cw_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__cw_before"))
+    out = placed.withColumn("__cw_rn", F.row_number().over(W.partitionBy("__cw_part").orderBy(*order))).join(F.broadcast(before), "__cw_part")
+    return out.select(*df.columns, (F.col("__cw_rn") + F.col("__cw_before")).alias("row_number"))
