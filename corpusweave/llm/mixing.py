@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from corpusweave.functions.text import key_or_null
-from corpusweave.llm.ranking import uniform
+from corpusweave.operators.ranking import uniform
 from corpusweave.llm.tokenizer import token_counts
 from corpusweave.session import cut_lineage
 

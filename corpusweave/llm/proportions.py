@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusweave.functions.text import MISSING, fold, is_missing
-from corpusweave.llm.ranking import rank_in_bins, uniform
+from corpusweave.operators.ranking import rank_in_bins, uniform
 from corpusweave.session import cut_lineage
 
 MAX_TARGETS = 2_000

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from corpusweave.functions.text import is_missing, key_or_null
-from corpusweave.llm.ranking import rank_in_bins, uniform
+from corpusweave.operators.ranking import rank_in_bins, uniform
 from corpusweave.session import cut_lineage
 
 DIM = 24

@@ -6,7 +6,7 @@ import pytest
 
 from corpusweave.llm.plans import p2_report, p2_sample
 from corpusweave.llm.proportions import TargetSample, divisor_seats, feasible
-from corpusweave.llm.ranking import rank_in_bins, uniform
+from corpusweave.operators.ranking import rank_in_bins, uniform
 from pyspark.sql import functions as F
 
 
