@@ -14,8 +14,8 @@ def uniform(seed: int, *cols: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *(F.col(c) for c in cols)), 64 - _BITS) / F.lit(float(1 << _BITS))
 
 
-def rank_in_bins(df: DataFrame, keys: list[str], u: str, ties: list[str], bins: Column) -> DataFrame:
-    """Add ``rank`` from 1 in the order of ``u`` (in [0, 1)), then ``ties``, per key.
+def rank_in_bins(df: DataFrame, keys: list[str], u: str, ties: list[str], bins: Column, out: str = "rank") -> DataFrame:
+    """Add ``out`` from 1 in the order of ``u`` (in [0, 1)), then ``ties``, per key.
 
     A key's rows are dealt into ``bins`` equal slices of [0, 1). Rows are numbered inside a slice and the number of rows in
     the slices before is added, so a hot key is sorted by as many tasks as it has slices. ``bins`` must be the same for all
@@ -30,5 +30,5 @@ def rank_in_bins(df: DataFrame, keys: list[str], u: str, ties: list[str], bins:
     on = same[0]
     for s in same[1:]:
         on = on & s
-    out = d.alias("d").join(offsets.alias("o"), on)
-    return out.select(*(F.col(f"d.{c}") for c in df.columns), (F.col("__cw_rn") + F.col("__cw_before")).alias("rank"))
+    both = d.alias("d").join(offsets.alias("o"), on)
+    return both.select(*(F.col(f"d.{c}") for c in df.columns), (F.col("__cw_rn") + F.col("__cw_before")).alias(out))

@@ -82,8 +82,8 @@ def sample_by_quota(df: DataFrame, keys: list[str], quotas: Mapping[tuple, int],
     for k in keys:
         same = same & F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}"))
     rows = rows.alias("r").join(F.broadcast(sizes).alias("s"), same).select("r.*", "s.__cw_n").withColumn("__cw_h", draw_order(seed, id_col)).withColumn("__cw_u", _position("__cw_h"))
-    ranked = rank_in_bins(rows, keys, "__cw_u", ["__cw_h"], bins)
-    return ranked.filter(F.col("rank") <= F.col("__cw_quota")).select(*df.columns)
+    ranked = rank_in_bins(rows, keys, "__cw_u", ["__cw_h"], bins, "__cw_rank")
+    return ranked.filter(F.col("__cw_rank") <= F.col("__cw_quota")).select(*df.columns)
 
 
 def stratified_sample(df: DataFrame, key: str, total: int, id_col: str, spread: str = "greedy", seed: int = 42) -> DataFrame:

@@ -49,7 +49,9 @@ def read_npz_pairs(spark: SparkSession, glob: str, matrix: str = "dist", names:
                 with np.load(io.BytesIO(content), allow_pickle=False) as z:
                     m, ids = z[matrix], [str(x) for x in z[names]]
                 for a in range(len(ids)):  # a row at a time keeps a large matrix out of one frame
-                    yield pd.DataFrame({"file": path, "i": ids[a], "j": ids[a + 1 :], "dist": m[a, a + 1 :].astype(float)})
+                    k = len(ids) - a - 1
+                    if k:
+                        yield pd.DataFrame({"file": [path] * k, "i": [ids[a]] * k, "j": ids[a + 1 :], "dist": m[a, a + 1 :].astype(float)})
 
     src = spark.read.format("binaryFile").load(glob).select("path", "content")
     return src.mapInPandas(run, "file string, i string, j string, dist double")
