@@ -15,7 +15,7 @@ from corpusweave.operators import ordination as O
 from corpusweave.operators import sampling as S
 from corpusweave.operators import tree as T
 from corpusweave.plans.corpus import _QC, _RANKED, _qc, _taxonomy
-from corpusweave.session import read_table
+from corpusweave.session import cut_lineage, read_table
 from corpusweave.sources.newick import newick_nodes, write_newick
 
 QUERIES: dict = {}
@@ -44,7 +44,7 @@ def _picked(spark, sf):
     """Shares of 120 samples drawn without replacement."""
     s = _shares(spark, sf)
     chosen = S.simple_sample(s.select("sample").distinct(), 120, "sample")
-    return s.join(F.broadcast(chosen), "sample")  # 120 rows
+    return cut_lineage(s.join(F.broadcast(chosen), "sample"))  # 120 rows; every distance reads the result several times
 
 
 @query(f"with {_SHARE} select a.sample as i, b.sample as j, round(1 - sum(least(a.share, b.share)), 6) as dist from s a join s b on a.feature = b.feature and a.sample < b.sample group by 1, 2")
