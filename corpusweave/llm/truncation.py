@@ -23,9 +23,9 @@ Repeated documents are cases together. Very long texts are processed whole.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
@@ -53,7 +53,8 @@ LEAST_SEEN = 4
 #: Below this share of endings among its occurrences, a last context belongs inside a sentence.
 ENDS_RARELY = 0.15
 LIMIT_DOCS, LIMIT_SHARE = 5, 0.05
-_FLUSH = 300_000
+#: Context occurrences that a task holds before it sums them up.
+_FLUSH = 3_000_000
 
 
 def _fold(token: str) -> str:
@@ -63,23 +64,6 @@ def _fold(token: str) -> str:
     return _DIGIT.sub("9", token.lower()) if _DIGIT.search(token) else token.lower()
 
 
-def _lines(text: str) -> Iterator[tuple[str, list[str]]]:
-    """Per line whether it is prose (P) or a label with values (L), and its tokens."""
-    for line in text.split("\n"):
-        kind = "L" if _LABEL.match(line) else "P"
-        yield kind, [_fold(t) for t in _TOKEN.findall(line) if not t.isspace()]
-
-
-def _wordlike(token: str) -> bool:
-    return token not in _OPEN and token not in _STOPS and token not in _CLOSERS
-
-
-def _contexts(kind: str, toks: list[str], i: int) -> tuple[str, str, str, str, str]:
-    """The contexts of a token, longest first; the last two are the word alone and its place alone."""
-    w, a, b = toks[i], toks[i - 1] if i > 0 else "^", toks[i - 2] if i > 1 else "^"
-    return f"3{kind}{b}\0{a}\0{w}", f"2{kind}{a}\0{w}", f"4{kind}{b}\0{w}", f"1{kind}{w}", f"5{kind}{b}\0{a}"
-
-
 def _closed(core: str) -> bool:
     """Whether the text ends in a mark that closes a sentence, a quotation or a bracket."""
     last = core[-1]
@@ -90,44 +74,116 @@ def _closed(core: str) -> bool:
     return last in _CLOSERS and last not in "'’"
 
 
-def _key(s: str) -> int:
-    return xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass")) - (1 << 63)
+#: Codes of the marks between lines and texts, and of a place before the first token.
+_PROSE, _LABELLED, _END_CLOSED, _END_OPEN, _BLANK = range(5)
+_WORD, _CLOSE, _STOP, _ASK, _SEMI, _OTHER = range(6)
+
+
+class _Lexicon:
+    """Codes of tokens, their folded text, kind and hash; a worker's memory of one batch."""
+
+    def __init__(self) -> None:
+        self.code: dict[str, int] = {}
+        self.folded: list[str] = ["^"] * 5
+        self.by_fold: dict[str, int] = {}
+        self.kind: list[int] = [_OTHER] * 5
+        self.hash: list[int] = [xxhash.xxh64_intdigest("^")] * 5
+
+    def add(self, raw: str) -> int:
+        if raw.isspace():
+            self.code[raw] = _BLANK
+            return _BLANK
+        t = _fold(raw)
+        c = self.by_fold.get(t)
+        if c is None:
+            c = self.by_fold[t] = len(self.folded)
+            self.folded.append(t)
+            self.kind.append(_SEMI if t == ";" else _CLOSE if t in _CLOSERS else _STOP if t in _STOPS else _ASK if t in _OPEN else _WORD)
+            self.hash.append(xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")))
+        self.code[raw] = c
+        return c
+
+    def line(self, line: str) -> list[int]:
+        get, add = self.code.get, self.add
+        return [get(t) or add(t) for t in _TOKEN.findall(line)]
+
+
+def _line_kind(line: str) -> int:
+    return _LABELLED if _LABEL.match(line) else _PROSE
+
+
+def _mix(salt: int, *parts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of hashes, the same for single values and whole batches."""
+    h = np.full(np.broadcast(*parts).shape, salt * 0x9E3779B97F4A7C15 % (1 << 64), dtype=np.uint64)
+    for p in parts:
+        h = (h ^ p) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def _contexts(kind: np.ndarray, b: np.ndarray, a: np.ndarray, w: np.ndarray) -> list[np.ndarray]:
+    """Keys of a token's contexts, longest first; the last two are the word alone and its place alone."""
+    kind = kind.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        return [x.view(np.int64) for x in (_mix(3, kind, b, a, w), _mix(2, kind, a, w), _mix(4, kind, b, w), _mix(1, kind, w), _mix(5, kind, b, a))]
+
+
+def _flat(lex: _Lexicon, cores: list[str]) -> np.ndarray:
+    """All tokens of the texts as codes, a mark before every line and after every text, blanks left out."""
+    flat: list[int] = []
+    for core in cores:
+        for line in core.split("\n"):
+            flat.append(_line_kind(line))
+            flat += lex.line(line)
+        flat.append(_END_CLOSED if _closed(core) else _END_OPEN)
+    out = np.array(flat, dtype=np.int64)
+    return out[out != _BLANK]
+
+
+def _occurrences(lex: _Lexicon, cores: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Context keys of all words of the texts, whether a unit ends there, and whether the place is inside its text."""
+    arr = _flat(lex, cores)
+    if not len(arr):
+        return (np.zeros(0, np.int64),) * 3
+    kinds, hashes = np.array(lex.kind), np.array(lex.hash, dtype=np.uint64)
+    mark = arr < _BLANK
+    n = len(arr)
+    at = np.arange(n)
+    # the line's kind at every place
+    starts = np.where(arr <= _LABELLED, at, 0)
+    kind = arr[np.maximum.accumulate(starts)]
+    # the next token that closes no bracket or quotation
+    solid = np.where(mark | (kinds[arr] != _CLOSE), at, n)
+    after = np.minimum.accumulate(solid[::-1])[::-1]
+    nxt = arr[np.minimum(np.append(after[1:], n), n - 1)]
+    word = ~mark & (kinds[arr] == _WORD)
+    end = (nxt < _BLANK) | (kinds[nxt] == _STOP) | ((kind == _LABELLED) & (kinds[nxt] == _SEMI))
+    inner = nxt != _END_OPEN
+    a = np.where(np.append(True, mark[:-1]), _PROSE, np.append(_PROSE, arr[:-1]))
+    b = np.where(a == _PROSE, _PROSE, np.append(_PROSE, a[:-1]))
+    i = np.flatnonzero(word)
+    keys = np.concatenate(_contexts(kind[i], hashes[b[i]], hashes[a[i]], hashes[arr[i]]))
+    return keys, np.tile(end[i], 5).astype(np.int64), np.tile(inner[i], 5).astype(np.int64)
 
 
 def count_contexts(texts: DataFrame) -> DataFrame:
     """``key, seen, ended, inner`` over ``core``: how often a context occurs, ends a unit, and occurs not last in a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, list[int]] = {}
+        held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> pa.RecordBatch:
-            cols = [pa.array([_key(k) for k in counts], pa.int64()), *(pa.array([v[j] for v in counts.values()], pa.int64()) for j in range(3))]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(cols, names=["key", "seen", "ended", "inner"])
+            keys, end, inner = (np.concatenate(x) if held else np.zeros(0, np.int64) for x in (zip(*held, strict=True) if held else ((),) * 3))
+            held.clear()
+            unique, at = np.unique(keys, return_inverse=True)
+            cols = [unique, np.bincount(at, minlength=len(unique)), *(np.bincount(at, weights=x, minlength=len(unique)).astype(np.int64) for x in (end, inner))]
+            return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["key", "seen", "ended", "inner"])
 
         for b in batches:
-            for core in b.column(0).to_pylist():
-                rows = list(_lines(core))
-                closed = _closed(core)
-                for at, (kind, toks) in enumerate(rows):
-                    last_line, n = at == len(rows) - 1, len(toks)
-                    for i, t in enumerate(toks):
-                        if not _wordlike(t):
-                            continue
-                        j = i + 1
-                        while j < n and toks[j] in _CLOSERS:
-                            j += 1
-                        end = j >= n or toks[j] in _STOPS or (kind == "L" and toks[j] == ";")
-                        inner = not (last_line and j >= n) or closed
-                        for c in _contexts(kind, toks, i):
-                            v = counts.get(c)
-                            if v is None:
-                                counts[c] = [1, int(end), int(inner)]
-                            else:
-                                v[0] += 1
-                                v[1] += end
-                                v[2] += inner
-                if len(counts) > _FLUSH:
+            cores = b.column(0).to_pylist()
+            for at in range(0, len(cores), 500):  # bounded working memory, however long the texts
+                held.append(_occurrences(_Lexicon(), cores[at : at + 500]))
+                if sum(len(x[0]) for x in held) > _FLUSH:
                     yield flush()
         yield flush()
 
@@ -141,18 +197,22 @@ def open_tails(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
+            lex = _Lexicon()
             for h, core in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 decimal = _ZERO.search(core) is not None
                 if _closed(core) and not decimal:
                     continue
                 line = core.rsplit("\n", 1)[-1]
-                kind, toks = next(_lines(line))
+                toks = [c for c in lex.line(line) if c != _BLANK]
                 if decimal:
                     toks = toks[:-1]
-                if not toks or not _wordlike(toks[-1]):
+                if not toks or lex.kind[toks[-1]] != _WORD:
                     out.append((h, True, None, None, None, decimal))
                 else:
-                    out.append((h, False, toks[-2] if len(toks) > 1 else "^", toks[-1], [_key(c) for c in _contexts(kind, toks, len(toks) - 1)], decimal))
+                    prev, before = ([_PROSE, _PROSE, *toks])[-2], ([_PROSE, _PROSE, *toks])[-3]
+                    parts = (np.array([lex.hash[c]], dtype=np.uint64) for c in (before, prev, toks[-1]))
+                    keys = [int(x[0]) for x in _contexts(np.array([_line_kind(line)]), *parts)]
+                    out.append((h, False, lex.folded[prev], lex.folded[toks[-1]], keys, decimal))
             cols = list(zip(*out, strict=True)) if out else [[]] * 6
             kinds = [pa.string(), pa.bool_(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=["h", "open", "prev", "word", "keys", "decimal"])
@@ -222,20 +282,18 @@ def longer_words(texts: DataFrame, words: DataFrame) -> DataFrame:
     know ``word``, else of a word that follows ``prev``. The words meet on prefixes of equal length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[tuple[str, str]] = set()
-
-        def flush() -> pa.RecordBatch:
-            cols = list(zip(*known, strict=True)) if known else [[], []]
-            known.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in cols], names=["prev", "w"])
-
         for b in batches:
-            for core in b.column(0).to_pylist():
-                for _, toks in _lines(core):
-                    known.update((a, w) for a, w in zip(["^", *toks], toks[:-1], strict=False) if len(w) > 1 and w[0].isalnum())
-            if len(known) > _FLUSH:
-                yield flush()
-        yield flush()
+            cores = b.column(0).to_pylist()
+            for at in range(0, len(cores), 500):
+                lex = _Lexicon()
+                arr = _flat(lex, cores[at : at + 500])
+                size = np.array([len(t) if t and t[0].isalnum() else 0 for t in lex.folded])
+                # a word is inside if another token follows it in its line
+                keep = np.flatnonzero((arr[:-1] > _BLANK) & (arr[1:] > _BLANK) & (size[arr[:-1]] > 1)) if len(arr) > 1 else np.zeros(0, int)
+                prev = np.where(arr[keep - 1] > _BLANK, arr[keep - 1], _PROSE)
+                pairs = np.unique(prev * len(lex.folded) + arr[keep])
+                names = [pa.array([lex.folded[c] for c in x], pa.string()) for x in (pairs // len(lex.folded), pairs % len(lex.folded))]
+                yield pa.RecordBatch.from_arrays(names, names=["prev", "w"])
 
     words = words.filter(F.col("word").isNotNull()).withColumn("n", F.length("word")).filter(F.col("n") <= 64)  # no word is longer
     used = [r["n"] for r in words.select("n").distinct().collect()]  # at most 64 numbers
