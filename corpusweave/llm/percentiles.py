@@ -59,11 +59,10 @@ def percentiles(counts: DataFrame, keys: Sequence[str], probs: Sequence[float],
     # the partition number is kept with the rows: range bounds drawn a second time could differ
     placed = cut_lineage(merged.filter(F.col("value") >= 0).repartitionByRange(*keys, "value").withColumn("part", F.spark_partition_id()))
     before = W.partitionBy(*keys).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    offset = placed.groupBy(*keys, "part").agg(F.sum("n").alias("s")).select(*keys, "part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("before"))
+    # one row per group and partition: the counts before the partition, and the group's total beside them
+    offset = placed.groupBy(*keys, "part").agg(F.sum("n").alias("s")).select(*keys, "part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("before"), F.sum("s").over(W.partitionBy(*keys)).alias("total"))
     running = F.sum("n").over(W.partitionBy(*keys, "part").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow))
-    upto = placed.withColumn("upto", running).join(offset, [*keys, "part"]).withColumn("upto", F.col("upto") + F.col("before"))
-    total = stats.select(*keys, F.col("n").alias("total"))
-    ranks = upto.join(total, keys)
+    ranks = placed.withColumn("upto", running).join(offset, [*keys, "part"]).withColumn("upto", F.col("upto") + F.col("before"))
 
     def rank(p: float) -> Column:
         return F.greatest(F.lit(1), F.ceil(F.round(F.lit(p) * F.col("total"), 6)))

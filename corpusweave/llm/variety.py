@@ -166,8 +166,14 @@ def varied_subset(df: DataFrame, id_col: str, features: Sequence[str], size: int
     ranked = rank_in_bins(seats.filter(F.col("n") > F.col("full")), ["cluster"], "h", ["g", *names], F.lit(256)).select("g", *names, "n", "cluster", (F.col("full") + (F.col("rank") <= F.col("extra")).cast("long")).alias("seats"))
     whole = seats.filter(F.coalesce(F.col("n") <= F.col("full"), F.lit(True))).select("g", *names, "n", "cluster", F.col("n").alias("seats"))
     seats = ranked.unionByName(whole).filter(F.col("seats") > 0)
+    # groups with more than a thousandth of the records, at most 1000 of them, are met by broadcast: their rows are not shuffled
+    big = F.col("n") > max(total, 1) / 1000
+    hot = F.broadcast(placed.filter(big).select("g", *names, F.lit(True).alias("hot")))
+    marked = ids.alias("a").join(hot.alias("b"), (F.col("a.g") == F.col("b.g")) & _all_same(names), "left").select("a.*", "b.hot")
+    hot_seats, cold_seats = F.broadcast(seats.filter(big)), seats.filter(~big)
     on = (F.col("a.g") == F.col("b.g")) & _all_same(names)
-    rows = ids.alias("a").join(seats.alias("b"), on).select("a.id", "a.g", *(F.col(f"a.{n}").alias(n) for n in names), "b.n", "b.cluster", "b.seats").withColumn("u", uniform(seed, "id"))
+    cols = ["a.id", "a.g", *(F.col(f"a.{n}").alias(n) for n in names), "b.n", "b.cluster", "b.seats"]
+    rows = marked.filter("hot").alias("a").join(hot_seats.alias("b"), on).select(*cols).unionByName(marked.filter("hot IS NULL").alias("a").join(cold_seats.alias("b"), on).select(*cols)).withColumn("u", uniform(seed, "id"))
     chosen = rank_in_bins(rows, ["g", *names], "u", ["id"], F.ceil(F.col("n") / slice_rows)).filter(F.col("rank") <= F.col("seats"))
     return chosen.select("id", "cluster", *(F.col(n).alias(f) for f, n in zip(features, names, strict=True)))
 
