@@ -54,7 +54,9 @@ LEAST_SEEN = 4
 ENDS_RARELY = 0.15
 LIMIT_DOCS, LIMIT_SHARE = 5, 0.05
 #: Context occurrences that a task holds before it sums them up.
-_FLUSH = 3_000_000
+_FLUSH = 2_000_000
+#: Characters that are tokenized together.
+_CHUNK_CHARS = 2_000_000
 
 
 def _fold(token: str) -> str:
@@ -140,11 +142,25 @@ def _flat(lex: _Lexicon, cores: list[str]) -> np.ndarray:
     return out[out != _BLANK]
 
 
-def _occurrences(lex: _Lexicon, cores: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Context keys of all words of the texts, whether a unit ends there, and whether the place is inside its text."""
+def _chunks(cores: list[str]) -> Iterator[list[str]]:
+    """Texts in groups of bounded length, so that the working memory doesn't grow with the texts of a batch."""
+    part, size = [], 0
+    for core in cores:
+        part.append(core)
+        size += len(core)
+        if size > _CHUNK_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def _occurrences(lex: _Lexicon, cores: list[str]) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], tuple[list[str], list[str]]]:
+    """Context keys of all words of the texts, whether a unit ends there and whether the place is inside its text; and the
+    distinct pairs of a word and the one before it among the places inside."""
     arr = _flat(lex, cores)
     if not len(arr):
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.int64),) * 3, ([], [])
     kinds, hashes = np.array(lex.kind), np.array(lex.hash, dtype=np.uint64)
     mark = arr < _BLANK
     n = len(arr)
@@ -163,32 +179,46 @@ def _occurrences(lex: _Lexicon, cores: list[str]) -> tuple[np.ndarray, np.ndarra
     b = np.where(a == _PROSE, _PROSE, np.append(_PROSE, a[:-1]))
     i = np.flatnonzero(word)
     keys = np.concatenate(_contexts(kind[i], hashes[b[i]], hashes[a[i]], hashes[arr[i]]))
-    return keys, np.tile(end[i], 5).astype(np.int64), np.tile(inner[i], 5).astype(np.int64)
+    long = np.array([len(t) > 1 and t[0].isalnum() for t in lex.folded])
+    k = i[inner[i] & long[arr[i]]]
+    pairs = np.unique(a[k] * len(lex.folded) + arr[k])
+    names = tuple([lex.folded[c] for c in x] for x in (pairs // len(lex.folded), pairs % len(lex.folded)))
+    return (keys, np.tile(end[i], 5).astype(np.int64), np.tile(inner[i], 5).astype(np.int64)), names
+
 
+def corpus_counts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One pass over ``core``: contexts ``key, seen, ended, inner`` (how often each occurs, ends a unit, and is not last in
+    its text) and the distinct pairs ``prev, w`` of a word inside a text and the word before it.
 
-def count_contexts(texts: DataFrame) -> DataFrame:
-    """``key, seen, ended, inner`` over ``core``: how often a context occurs, ends a unit, and occurs not last in a text."""
+    Both come as partial results of the tasks, which are written out once, because two summaries read them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
+        names = ["key", "seen", "ended", "inner", "prev", "w"]
 
         def flush() -> pa.RecordBatch:
-            keys, end, inner = (np.concatenate(x) if held else np.zeros(0, np.int64) for x in (zip(*held, strict=True) if held else ((),) * 3))
+            keys, end, inner = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             unique, at = np.unique(keys, return_inverse=True)
-            cols = [unique, np.bincount(at, minlength=len(unique)), *(np.bincount(at, weights=x, minlength=len(unique)).astype(np.int64) for x in (end, inner))]
-            return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["key", "seen", "ended", "inner"])
+            n = len(unique)
+            cols = [unique, np.bincount(at, minlength=n), *(np.bincount(at, weights=x, minlength=n) for x in (end, inner))]
+            return pa.RecordBatch.from_arrays([*(pa.array(c.astype(np.int64)) for c in cols), pa.nulls(n, pa.string()), pa.nulls(n, pa.string())], names=names)
 
         for b in batches:
-            cores = b.column(0).to_pylist()
-            for at in range(0, len(cores), 500):  # bounded working memory, however long the texts
-                held.append(_occurrences(_Lexicon(), cores[at : at + 500]))
+            for part in _chunks(b.column(0).to_pylist()):
+                found, pairs = _occurrences(_Lexicon(), part)
+                held.append(found)
+                n = len(pairs[0])
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(n, pa.int64()) for _ in range(4)), *(pa.array(x, pa.string()) for x in pairs)], names=names)
                 if sum(len(x[0]) for x in held) > _FLUSH:
                     yield flush()
-        yield flush()
+        if held:
+            yield flush()
 
-    raw = texts.select("core").mapInArrow(run, "key bigint, seen bigint, ended bigint, inner bigint")
-    return raw.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("seen", "ended", "inner")))
+    raw = cut_lineage(texts.select("core").mapInArrow(run, "key bigint, seen bigint, ended bigint, inner bigint, prev string, w string"))
+    contexts = raw.filter("key IS NOT NULL").groupBy("key").agg(*(F.sum(c).alias(c) for c in ("seen", "ended", "inner")))
+    return contexts, raw.filter("w IS NOT NULL").select("prev", "w").distinct()
 
 
 def open_tails(texts: DataFrame) -> DataFrame:
@@ -251,7 +281,7 @@ def strict_prefixes(texts: DataFrame) -> DataFrame:
 
 def judge_texts(texts: DataFrame) -> DataFrame:
     """``h, ends, certain`` of the open texts; ``ends`` is the share of endings at their last context, NULL if unknown."""
-    contexts = cut_lineage(count_contexts(texts))
+    contexts, pairs = corpus_counts(texts)
     tails = cut_lineage(open_tails(texts))
     looked = tails.filter(F.col("keys").isNotNull()).select("h", "prev", "word", "decimal", F.posexplode("keys").alias("at", "key"))
     looked = looked.join(contexts, "key", "left")
@@ -268,7 +298,7 @@ def judge_texts(texts: DataFrame) -> DataFrame:
     # a short rest may be a word elsewhere, but then never after the word before it
     strange = (F.col("inner1") <= 0) & ~F.col("decimal")
     per = per.select("h", "prev", "word", "decimal", unknown.alias("unknown"), strange.alias("strange"), F.when(unknown, place).otherwise(share).alias("ends"))
-    longer = longer_words(texts, per.filter("strange").select("prev", "word", "unknown").distinct())
+    longer = longer_words(pairs, per.filter("strange").select("prev", "word", "unknown").distinct())
     per = per.join(longer.withColumn("cut_word", F.lit(True)), ["prev", "word", "unknown"], "left").withColumn("cut_word", F.coalesce("cut_word", F.lit(False)) & F.col("strange"))
     low = F.coalesce(F.col("ends") < ENDS_RARELY, F.lit(False))
     judged = per.select("h", "ends", (F.col("cut_word") | low).alias("certain"), "decimal")
@@ -277,29 +307,14 @@ def judge_texts(texts: DataFrame) -> DataFrame:
     return judged.filter(~F.col("decimal") | F.col("certain")).select("h", "ends", "certain")
 
 
-def longer_words(texts: DataFrame, words: DataFrame) -> DataFrame:
+def longer_words(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """Those of ``prev, word, unknown`` that are strict prefixes of words inside texts: of any word if the corpus does not
     know ``word``, else of a word that follows ``prev``. The words meet on prefixes of equal length."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cores = b.column(0).to_pylist()
-            for at in range(0, len(cores), 500):
-                lex = _Lexicon()
-                arr = _flat(lex, cores[at : at + 500])
-                size = np.array([len(t) if t and t[0].isalnum() else 0 for t in lex.folded])
-                # a word is inside if another token follows it in its line
-                keep = np.flatnonzero((arr[:-1] > _BLANK) & (arr[1:] > _BLANK) & (size[arr[:-1]] > 1)) if len(arr) > 1 else np.zeros(0, int)
-                prev = np.where(arr[keep - 1] > _BLANK, arr[keep - 1], _PROSE)
-                pairs = np.unique(prev * len(lex.folded) + arr[keep])
-                names = [pa.array([lex.folded[c] for c in x], pa.string()) for x in (pairs // len(lex.folded), pairs % len(lex.folded))]
-                yield pa.RecordBatch.from_arrays(names, names=["prev", "w"])
-
     words = words.filter(F.col("word").isNotNull()).withColumn("n", F.length("word")).filter(F.col("n") <= 64)  # no word is longer
     used = [r["n"] for r in words.select("n").distinct().collect()]  # at most 64 numbers
     if not used:
         return words.drop("n").limit(0)
-    pairs = cut_lineage(texts.select("core").mapInArrow(run, "prev string, w string").distinct())
+    pairs = cut_lineage(pairs)
 
     def heads(df: DataFrame, *keys: str) -> DataFrame:
         cut = df.select(*keys, "w", F.explode(F.array(*map(F.lit, used))).alias("n")).filter(F.length("w") > F.col("n"))
