@@ -4,7 +4,8 @@ Three comparisons find them, each of them a self-join by prefix or of what follo
 
 * whole texts: all distinct texts are range-sorted, where a text that is a strict prefix of others stands directly before
   one of them, so comparing neighbours finds every such text without building pairs;
-* last words: a last word that the corpus never has there inside a text, while longer words start with it, was cut;
+* last words: a last word that the corpus never has there inside a text, while longer words that it has there start with it,
+  was cut;
 * last contexts: the last one to three tokens are looked up among all places of the corpus with the same tokens. If the text
   goes on there (nearly) always, it was cut; if a sentence, line or list item ends there, it may be whole.
 
@@ -16,8 +17,8 @@ source's certain cases: a length is a limit if at least ``LIMIT_DOCS`` and ``LIM
 The prefix join of whole texts alone finds only cuts of which a longer copy exists; the other two comparisons are needed for
 the rest. Statistics cover all distinct texts; equal texts count once, so many copies of a cut text prove nothing.
 
-Defined cases: NULL, empty and blank texts are no cases. Trailing blanks, ellipses and replacement characters are ignored
-before the last word is judged. Documents without a source are judged like others, their source being one of its own.
+Defined cases: NULL, empty and blank texts are no cases. Trailing blanks, ellipses (also of dots) and replacement characters
+are ignored before the last word is judged. Documents without a source are judged like others, their source being one of its own.
 Repeated documents are cases together. Very long texts are processed whole.
 """
 
@@ -297,9 +298,9 @@ def judge_texts(texts: DataFrame) -> DataFrame:
     place = F.when(F.col("seen4") - own >= LEAST_SEEN, (F.col("ended4") - own) / F.nullif(F.col("seen4") - own, F.lit(0)))
     # a short rest may be a word elsewhere, but then never after the word before it
     strange = (F.col("inner1") <= 0) & ~F.col("decimal")
-    per = per.select("h", "prev", "word", "decimal", unknown.alias("unknown"), strange.alias("strange"), F.when(unknown, place).otherwise(share).alias("ends"))
-    longer = longer_words(pairs, per.filter("strange").select("prev", "word", "unknown").distinct())
-    per = per.join(longer.withColumn("cut_word", F.lit(True)), ["prev", "word", "unknown"], "left").withColumn("cut_word", F.coalesce("cut_word", F.lit(False)) & F.col("strange"))
+    per = per.select("h", "prev", "word", "decimal", (unknown & place.isNull()).alias("alone"), strange.alias("strange"), F.when(unknown, place).otherwise(share).alias("ends"))
+    longer = longer_words(pairs, per.filter("strange").select("prev", "word", "alone").distinct())
+    per = per.join(longer.withColumn("cut_word", F.lit(True)), ["prev", "word", "alone"], "left").withColumn("cut_word", F.coalesce("cut_word", F.lit(False)) & F.col("strange"))
     low = F.coalesce(F.col("ends") < ENDS_RARELY, F.lit(False))
     judged = per.select("h", "ends", (F.col("cut_word") | low).alias("certain"), "decimal")
     judged = judged.unionByName(tails.filter("open").select("h", F.lit(0.0).alias("ends"), (~F.col("decimal")).alias("certain"), "decimal"))
@@ -308,8 +309,8 @@ def judge_texts(texts: DataFrame) -> DataFrame:
 
 
 def longer_words(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """Those of ``prev, word, unknown`` that are strict prefixes of words inside texts: of any word if the corpus does not
-    know ``word``, else of a word that follows ``prev``. The words meet on prefixes of equal length."""
+    """Those of ``prev, word, alone`` that are strict prefixes of words inside texts: of a word that follows ``prev``, or of
+    any word where ``alone`` says that the corpus knows neither the word nor its place. They meet on prefixes of equal length."""
     words = words.filter(F.col("word").isNotNull()).withColumn("n", F.length("word")).filter(F.col("n") <= 64)  # no word is longer
     used = [r["n"] for r in words.select("n").distinct().collect()]  # at most 64 numbers
     if not used:
@@ -320,15 +321,17 @@ def longer_words(pairs: DataFrame, words: DataFrame) -> DataFrame:
         cut = df.select(*keys, "w", F.explode(F.array(*map(F.lit, used))).alias("n")).filter(F.length("w") > F.col("n"))
         return cut.select(*keys, F.substring(F.col("w"), F.lit(1), F.col("n")).alias("word")).distinct()
 
-    alone = words.filter("unknown").join(heads(pairs.select("w").distinct()), "word", "left_semi")
-    after = words.filter("NOT unknown").join(heads(pairs.join(words.filter("NOT unknown").select("prev").distinct(), "prev", "left_semi"), "prev"), ["prev", "word"], "left_semi")
-    return alone.unionByName(after).select("prev", "word", "unknown")
+    alone = words.filter("alone").join(heads(pairs.select("w").distinct()), "word", "left_semi")
+    after = words.filter("NOT alone").join(heads(pairs.join(words.filter("NOT alone").select("prev").distinct(), "prev", "left_semi"), "prev"), ["prev", "word"], "left_semi")
+    return alone.unionByName(after).select("prev", "word", "alone")
 
 
 def judge_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", salts: int = 16) -> DataFrame:
     """``doc_id, source, cut`` of every document; the source is folded, NULL where missing."""
     d = docs.select(F.col(id_col).alias("doc_id"), key_or_null(F.col(source_col)).alias("source"), F.col(text_col).cast("string").alias("text"))
+    # several dots are an ellipsis, one is a full stop
     d = d.withColumn("core", F.rtrim("text", F.lit(TRAILING)))
+    d = d.withColumn("core", F.when(F.col("core").endswith(".."), F.rtrim("core", F.lit(TRAILING + "."))).otherwise(F.col("core")))
     real = F.coalesce(F.length(F.trim("core", F.lit(TRAILING))) > 0, F.lit(False))
     d = d.withColumn("h", F.when(real, F.md5("core")))
     texts = cut_lineage(d.filter(real).select("h", "core").groupBy("h").agg(F.min("core").alias("core")))

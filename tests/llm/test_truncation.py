@@ -54,7 +54,7 @@ def test_planted_cuts(spark):
             while t[k - 1] in ". \n" or t[k : k + 1] in ". " and any(t[:k].endswith(e) for e in ENDS):
                 k -= 1
             t, _ = t[:k], cut.add(i)
-            t += rng.choice(["", "", " ", "\n", "…", "�"])
+            t += rng.choice(["", "", " ", "\n", "…", "...", "�"])
         rows.append((i, t, ["A ", "a", "b"][i % 3], 1))
     extra = [(9000, None, "a", 1), (9001, "", "a", 1), (9002, " \n ", None, 1), (9003, "…", "b", 1), (9004, rows[1][1], None, 1), (9005, rows[0][1], "", 1), (9006, "x" * 200_000 + ".", "b", 1)]
     docs = spark.createDataFrame(rows + extra, "doc_id long, text string, source string, cut int")
