@@ -242,22 +242,22 @@ def merge_outer(spark, sf):
     return M.merge_samples({"L_": left, "R_": right}, _COMMON)
 
 
-_HALF = "l as (select distinct p_partkey as k from part where p_partkey % 3 <> 0), r as (select distinct p_partkey as k from part where p_partkey % 2 = 0)"
+_HALF = "l as (select distinct l_partkey as k from lineitem where l_returnflag = 'R'), r as (select distinct l_partkey as k from lineitem where l_returnflag = 'A')"
 
 
 @query(f"with {_HALF}, u as (select k, max(s = 'l') as il, max(s = 'r') as ir from (select k, 'l' as s from l union all select k, 'r' from r) group by 1) select count_if(il) as n_left, count_if(ir) as n_right, count_if(il and ir) as n_both, count_if(not ir) as only_left, count_if(not il) as only_right, count(*) as n_union from u")
 def merge_set_sizes(spark, sf):
-    """Shared and one-sided features of two vocabularies."""
-    p = read_table(spark, sf, "part").select(F.col("p_partkey").alias("k"))
-    return M.set_sizes(p.filter("k % 3 <> 0"), p.filter("k % 2 = 0"), "k")
+    """Shared and one-sided features of two vocabularies: parts returned and parts accepted."""
+    li = read_table(spark, sf, "lineitem").select(F.col("l_partkey").alias("k"), "l_returnflag")
+    return M.set_sizes(li.filter("l_returnflag = 'R'"), li.filter("l_returnflag = 'A'"), "k")
 
 
-@query("""with t as (select distinct k, s from (select p_partkey as k, 'a' as s from part where p_partkey % 5 <> 0 union all select l_partkey, 'b' from lineitem union all select p_partkey, 'c' from part)) select k, array_to_string(list_sort(list_filter(['a', 'b', 'c'], lambda x: not list_contains(list(s), x))), ',') as missing_in from t group by k having count(*) < 3""")
+@query("""with t as (select distinct k, s from (select p_partkey as k, 'a' as s from part where p_size < 45 union all select l_partkey, 'b' from lineitem where l_returnflag = 'R' union all select p_partkey, 'c' from part)) select k, array_to_string(list_sort(list_filter(['a', 'b', 'c'], lambda x: not list_contains(list(s), x))), ',') as missing_in from t group by k having count(*) < 3""")
 def merge_key_differences(spark, sf):
     """Keys that one of several tables lacks."""
-    p = read_table(spark, sf, "part").select(F.col("p_partkey").alias("k"))
-    li = read_table(spark, sf, "lineitem").select(F.col("l_partkey").alias("k"))
-    return M.key_differences({"a": p.filter("k % 5 <> 0"), "b": li, "c": p}, "k")
+    p = read_table(spark, sf, "part").select(F.col("p_partkey").alias("k"), "p_size")
+    li = read_table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("k"))
+    return M.key_differences({"a": p.filter("p_size < 45"), "b": li, "c": p}, "k")
 
 
 @query(f"with {_QC}, h as (select distinct feature from q where n >= 45) select p_partkey as feature, h.feature is not null as observed from part left join h on p_partkey = h.feature")
@@ -279,12 +279,17 @@ def merge_duplicates(spark, sf):
     return M.duplicates(read_table(spark, sf, "merged_gg2_with_phylo"), "obs_name")
 
 
-@query(f"with {_F}, a as (select * from f where sample % 2 = 0), b as (select * from f where sample % 2 = 1), m as (select * from a union all select * from b) select cast((select sum(n) from a) as bigint) as reads_left, cast((select sum(n) from b) as bigint) as reads_right, cast((select sum(n) from m) as bigint) as reads_merged, (select sum(n) from a) + (select sum(n) from b) = (select sum(n) from m) as conserved")
+_SIDE = "select o_custkey as sample, l_partkey as feature, sum(cast(l_quantity as bigint)) as n from lineitem join orders on l_orderkey = o_orderkey where {0} group by 1, 2"
+
+
+@query(f"with a as ({_SIDE.format("o_orderstatus = 'F'")}), b as ({_SIDE.format("o_orderstatus <> 'F'")}), m as (select sample, feature, sum(n) as n from (select * from a union all select * from b) group by 1, 2) select cast((select sum(n) from a) as bigint) as reads_left, cast((select sum(n) from b) as bigint) as reads_right, cast((select sum(n) from m) as bigint) as reads_merged, (select sum(n) from a) + (select sum(n) from b) = (select sum(n) from m) as conserved")
 def merge_conservation(spark, sf):
-    """Reads of the parts and of the merged corpus."""
-    f = _facts(spark, sf)
-    m = M.merge_facts(f.filter("sample % 2 = 0"), f.filter("sample % 2 = 1"))
-    out = m.agg(F.sum(F.when(F.col("sample") % 2 == 0, F.col("n"))).alias("reads_left"), F.sum(F.when(F.col("sample") % 2 == 1, F.col("n"))).alias("reads_right"), F.sum("n").alias("reads_merged"))
+    """Reads of two sources, finished and open orders, and of the merged corpus."""
+    j = read_table(spark, sf, "lineitem").join(read_table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).withColumn("q", F.col("l_quantity").cast("bigint"))
+    left, right = (C.facts(j.filter(c), "o_custkey", "l_partkey", "q") for c in ("o_orderstatus = 'F'", "o_orderstatus <> 'F'"))
+    merged = C.facts(M.merge_facts(left, right), "sample", "feature", "n")
+    one = lambda f, a: f.agg(F.sum("n").alias(a))
+    out = one(left, "reads_left").join(F.broadcast(one(right, "reads_right"))).join(F.broadcast(one(merged, "reads_merged")))  # single rows
     return out.withColumn("conserved", F.col("reads_left") + F.col("reads_right") == F.col("reads_merged"))
 
 

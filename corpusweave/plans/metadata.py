@@ -173,12 +173,12 @@ def meta_invariants(spark, sf):
     return violations(_merged(spark, sf).filter(F.col("obs_name").startswith("RM")), {k: F.expr(r) for k, r in _RULES.items()})
 
 
-_PATCH = "select c_custkey, 'PATCHED' as c_mktsegment, case when c_custkey % 2 = 0 then null else c_acctbal + 1 end as c_acctbal from customer where c_custkey % 7 = 0"
+_PATCH = "select c_custkey, 'PATCHED' as c_mktsegment, case when c_acctbal < 0 then null else c_acctbal + 1 end as c_acctbal from customer where c_mktsegment = 'BUILDING'"
 
 
 def _patched(spark, sf):
     c = read_table(spark, sf, "customer")
-    patch = c.filter("c_custkey % 7 = 0").select("c_custkey", F.lit("PATCHED").alias("c_mktsegment"), F.when(F.col("c_custkey") % 2 != 0, F.col("c_acctbal") + 1).alias("c_acctbal"))
+    patch = c.filter("c_mktsegment = 'BUILDING'").select("c_custkey", F.lit("PATCHED").alias("c_mktsegment"), F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal") + 1).alias("c_acctbal"))
     return c, M.apply_patch(c, patch, "c_custkey")
 
 

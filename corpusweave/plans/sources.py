@@ -57,18 +57,18 @@ def source_fasta(spark, sf):
     return spark.createDataFrame([(S.count_fasta(spark, path),)], "n_records long")
 
 
-_FACTS = "select o_custkey % 3 as project, l_partkey as feature, 's' || (o_custkey % 5) as sample, cast(sum(cast(l_quantity as bigint)) as bigint) as n from lineitem join orders on l_orderkey = o_orderkey group by all"
+_FACTS = "select o_orderstatus as project, l_partkey as feature, 's' || left(o_orderpriority, 1) as sample, cast(sum(cast(l_quantity as bigint)) as bigint) as n from lineitem join orders on l_orderkey = o_orderkey group by all"
 
 
-@query(f"with f as ({_FACTS}) select 'p' || project as project, cast(feature as varchar) as feature, sample, n from f where n > 0")
+@query(f"with f as ({_FACTS}) select project, cast(feature as varchar) as feature, sample, n from f where n > 0")
 def source_projects(spark, sf):
     """Dense count tables of several project folders in one scan, as facts."""
     path = _place(spark)
     j = read_table(spark, sf, "lineitem").join(read_table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    j = j.withColumn("sample", F.concat(F.lit("s"), F.col("o_custkey") % 5))
-    wide = j.groupBy(F.concat(F.lit("p"), F.col("o_custkey") % 3).alias("project"), F.col("l_partkey").alias("feature")).pivot("sample", [f"s{i}" for i in range(5)]).agg(F.sum(F.col("l_quantity").cast("bigint")))
+    j = j.withColumn("sample", F.concat(F.lit("s"), F.substring("o_orderpriority", 1, 1)))
+    wide = j.groupBy(F.col("o_orderstatus").alias("project"), F.col("l_partkey").alias("feature")).pivot("sample", [f"s{i}" for i in range(1, 6)]).agg(F.sum(F.col("l_quantity").cast("bigint")))
     wide.write.partitionBy("project").option("sep", "\t").option("header", True).option("nullValue", "").csv(path)
-    cols = ["feature", *(f"s{i}" for i in range(5))]
+    cols = ["feature", *(f"s{i}" for i in range(1, 6))]
     t = S.read_projects(spark, f"{path}/project=*", cols, r"project=([^/]+)/")
     return S.unpivot_counts(t, "feature", ["project"]).select("project", "feature", "sample", "n")
 
