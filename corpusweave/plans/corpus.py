@@ -38,7 +38,7 @@ def _facts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _F = "f as (select o_custkey as sample, l_partkey as feature, cast(sum(cast(l_quantity as bigint)) as bigint) as n from lineitem join orders on l_orderkey = o_orderkey group by 1, 2 having sum(cast(l_quantity as bigint)) > 0)"
-_T = "t as (select sample, sum(n) as total_reads, count(*) as n_taxa from f group by 1)"
+_T = "t as (select sample, cast(sum(n) as bigint) as total_reads, count(*) as n_taxa from f group by 1)"
 _QC = f"{_F}, {_T}, q as (select f.* from f join t using (sample) where total_reads >= {MIN_READS} and n_taxa >= {MIN_FEATURES})"
 
 
@@ -98,7 +98,7 @@ def corpus_finalise_samples(spark, sf):
     return out.select("sample", "source", F.coalesce("total_reads", F.lit(0)).alias("total_reads"), F.coalesce("n_taxa", F.lit(0)).alias("n_taxa"), "pair_id")
 
 
-@query(f"with {_F}, {_T}, c as (select c_custkey as sample from customer) select count(*) as n_samples, count_if(sample not in (select sample from f)) as n_empty from c")
+@query(f"with {_F}, {_T}, c as (select c_custkey as sample from customer) select count(*) as n_samples, count(*) filter (where sample not in (select sample from f)) as n_empty from c")
 def corpus_empty_samples(spark, sf):
     """Samples without a fact."""
     c = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("sample"))
@@ -206,7 +206,7 @@ def rollup_loss(spark, sf):
     return C.loss(_facts(spark, sf), _rolled(spark, sf)).withColumn("lost", F.round("lost", 9))
 
 
-@query(f"with {_ROLL}, a as (select sample, sum(n) as i from f group by 1), b as (select sample, sum(n) as o from g group by 1), l as (select i, coalesce(o, 0) as o, (i - coalesce(o, 0)) / i as lost from a left join b using (sample)) select cast(sum(i) as bigint) as reads_in, cast(sum(o) as bigint) as reads_out, round(100.0 * (sum(i) - sum(o)) / sum(i), 6) as lost_percent, " + ", ".join(f"round(quantile_cont(lost, {q}), 6) as q{round(q * 100)}" for q in (0.5, 0.75, 0.9, 0.95, 0.99)) + ", round(max(lost), 6) as worst, count_if(lost > 0.5) as over_half from l")
+@query(f"with {_ROLL}, a as (select sample, sum(n) as i from f group by 1), b as (select sample, sum(n) as o from g group by 1), l as (select i, coalesce(o, 0) as o, (i - coalesce(o, 0)) / i as lost from a left join b using (sample)) select cast(sum(i) as bigint) as reads_in, cast(sum(o) as bigint) as reads_out, round(100.0 * (sum(i) - sum(o)) / sum(i), 6) as lost_percent, " + ", ".join(f"round(quantile_cont(lost, {q}), 6) as q{round(q * 100)}" for q in (0.5, 0.75, 0.9, 0.95, 0.99)) + ", round(max(lost), 6) as worst, count(*) filter (where lost > 0.5) as over_half from l")
 def rollup_loss_summary(spark, sf):
     """Loss of the whole corpus and quantiles of the samples' losses."""
     s = C.loss_summary(C.loss(_facts(spark, sf), _rolled(spark, sf)))
@@ -245,7 +245,7 @@ def merge_outer(spark, sf):
 _HALF = "l as (select distinct l_partkey as k from lineitem where l_returnflag = 'R'), r as (select distinct l_partkey as k from lineitem where l_returnflag = 'A')"
 
 
-@query(f"with {_HALF}, u as (select k, max(s = 'l') as il, max(s = 'r') as ir from (select k, 'l' as s from l union all select k, 'r' from r) group by 1) select count_if(il) as n_left, count_if(ir) as n_right, count_if(il and ir) as n_both, count_if(not ir) as only_left, count_if(not il) as only_right, count(*) as n_union from u")
+@query(f"with {_HALF}, u as (select k, max(s = 'l') as il, max(s = 'r') as ir from (select k, 'l' as s from l union all select k, 'r' from r) group by 1) select count(*) filter (where il) as n_left, count(*) filter (where ir) as n_right, count(*) filter (where il and ir) as n_both, count(*) filter (where not ir) as only_left, count(*) filter (where not il) as only_right, count(*) as n_union from u")
 def merge_set_sizes(spark, sf):
     """Shared and one-sided features of two vocabularies: parts returned and parts accepted."""
     li = read_table(spark, sf, "lineitem").select(F.col("l_partkey").alias("k"), "l_returnflag")
@@ -326,7 +326,7 @@ def stats_non_null(spark, sf):
 _TYPES = ("AMPLICON", "WGS", "RNAseq")
 
 
-@query("select \"Database\" as database, " + ", ".join(f"count_if(Sequencing_Type = '{t}') as {t}" for t in _TYPES) + " from merged_gg2_with_phylo group by 1")
+@query("select \"Database\" as database, " + ", ".join(f"count(*) filter (where Sequencing_Type = '{t}') as {t}" for t in _TYPES) + " from merged_gg2_with_phylo group by 1")
 def stats_contingency(spark, sf):
     """Two-key counts as a table with a column per known value."""
     m = read_table(spark, sf, "merged_gg2_with_phylo").select(F.col("Database").alias("database"), "Sequencing_Type")
@@ -355,3 +355,32 @@ def corpus_top_features(spark, sf):
     w = W.partitionBy("sample").orderBy(F.desc("n"), "feature")
     s = _facts(spark, sf).withColumn("r", F.row_number().over(w)).withColumn("prev", F.lag("n").over(w))
     return s.filter("r <= 3").select("sample", "feature", "n", "r", F.coalesce(F.col("prev") - F.col("n"), F.lit(0)).alias("gap"))
+
+
+@query(f"with {_RANKED} select \"Family\" as family, count(distinct \"Genus\") as n, array_to_string(list_sort(list(distinct \"Genus\")), ',') as genera from tx where \"Family\" is not null and \"Genus\" is not null group by 1")
+def taxonomy_family_genera(spark, sf):
+    """The genera of every family; a family's distinct genera are few by the nature of the vocabulary."""
+    t = _taxonomy(spark, sf).filter("Family IS NOT NULL AND Genus IS NOT NULL").select(F.col("Family").alias("family"), F.col("Genus").alias("g")).distinct()
+    return t.groupBy("family").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("g")), ",").alias("genera"))
+
+
+@query("select p_brand, dense_rank() over (order by p_brand) - 1 as code from (select distinct p_brand from part)")
+def stats_codes(spark, sf):
+    """Dense integer codes of a column's values in their order, numbered over range partitions."""
+    d = read_table(spark, sf, "part").select("p_brand").distinct()
+    return M.number_rows(d, "p_brand").select("p_brand", (F.col("row_number") - 1).alias("code"))
+
+
+@query("select count(*) as touched from (select l_orderkey as k from lineitem where l_returnflag = 'R' union select o_orderkey from orders where o_orderstatus = 'P')")
+def merge_touched(spark, sf):
+    """Keys touched by either of two changes, each once."""
+    a = read_table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("k"))
+    b = read_table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("k"))
+    return a.union(b).distinct().agg(F.count("*").alias("touched"))
+
+
+@query("select Run as run, count(*) as n from merged_gg2_with_phylo where Run in (select Run from mcfcorpus_gg2 where total_reads > 1000000) group by 1")
+def lookup_semi(spark, sf):
+    """Rows whose run has a large sample in another table."""
+    big = read_table(spark, sf, "mcfcorpus_gg2").filter("total_reads > 1000000").select("Run")
+    return read_table(spark, sf, "merged_gg2_with_phylo").join(big, "Run", "left_semi").groupBy(F.col("Run").alias("run")).agg(F.count("*").alias("n"))

@@ -85,7 +85,7 @@ def distance_audit(spark, sf):
     return a.select("pairs", *(F.round(c, 6).alias(c) for c in ("least", "mid", "most")), "unknown", "out_of_range")
 
 
-_PLACES = "select 0 as node, null as parent, 'world' as label, 0.0 as length union all select 1 + r_regionkey, 0, r_name, 3.0 from region union all select 100 + n_nationkey, 1 + n_regionkey, n_name, 0.5 + n_nationkey % 4 from nation"
+_PLACES = "select 0 as node, null as parent, 'world' as label, cast(0 as double) as length union all select 1 + r_regionkey, 0, r_name, cast(3 as double) from region union all select 100 + n_nationkey, 1 + n_regionkey, n_name, cast(0.5 + n_nationkey % 4 as double) from nation"
 
 
 def _places(spark, sf):
@@ -105,13 +105,13 @@ def tree_newick_round_trip(spark, sf):
     return n.agg(F.count("*").alias("nodes"), F.count("parent").alias("edges"), F.round(F.sum("length"), 6).alias("total"), F.count_distinct("label").alias("labels"))
 
 
-@query(f"with t as ({_PLACES}) select 0 as extra_roots, 0 as repeated_nodes, 0 as unknown_parents, count_if(parent >= node) as late_parents from t")
+@query(f"with t as ({_PLACES}) select 0 as extra_roots, 0 as repeated_nodes, 0 as unknown_parents, count(*) filter (where parent >= node) as late_parents from t")
 def tree_faults(spark, sf):
     """Broken invariants of a tree."""
     return T.tree_faults(_places(spark, sf))
 
 
-@query(f"with recursive t as ({_PLACES}), c as (select node, node as ancestor, 0 as hops, 0.0 as dist from t union all select c.node, t.parent, c.hops + 1, c.dist + t.length from c join t on c.ancestor = t.node where t.parent is not null) select node, ancestor, hops, round(dist, 6) as dist from c")
+@query(f"with recursive t as ({_PLACES}), c as (select node, node as ancestor, 0 as hops, cast(0 as double) as dist from t union all select c.node, t.parent, c.hops + 1, c.dist + t.length from c join t on c.ancestor = t.node where t.parent is not null) select node, ancestor, hops, round(dist, 6) as dist from c")
 def tree_closure(spark, sf):
     """All ancestors of all nodes."""
     return T.closure(_places(spark, sf)).withColumn("dist", F.round("dist", 6))
@@ -154,7 +154,7 @@ def tree_marked(spark, sf):
     return T.with_marked_descendants(t, t.filter("node >= 100 AND (node - 100) % 2 = 0")).agg(F.count("*").alias("nodes"))
 
 
-@query(f"with t as ({_PLACES}), c as (select case when node between 1 and 5 then null else label end as label, length from t union all select label, 0.0 from t where node between 1 and 5) select count(*) as nodes, count(label) as labelled, round(sum(length), 6) as total from c")
+@query(f"with t as ({_PLACES}), c as (select case when node between 1 and 5 then null else label end as label, length from t union all select label, cast(0 as double) from t where node between 1 and 5) select count(*) as nodes, count(label) as labelled, round(sum(length), 6) as total from c")
 def tree_collapse(spark, sf):
     """The tree of places with regions and nations as tips, regions as tips of length 0 beside their nations."""
     t = _places(spark, sf)
@@ -215,3 +215,25 @@ def embedding_tree(spark, sf):
     return O.euclidean_embedding(tree_patristic(spark, sf), dim=8, steps=2000)[0]
 
 
+
+
+@query("select label, count(*) as n, round(min(nrm), 6) as least, round(median(nrm), 6) as mid, round(quantile_cont(nrm, 0.95), 6) as p95, round(max(nrm), 6) as most from (select label, sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))) as nrm from embeddings) group by 1")
+def distance_norms(spark, sf):
+    """Norms of the vectors per label."""
+    x = F.col("embedding")
+    e = read_table(spark, sf, "embeddings").select("label", D.euclidean(x, F.transform(x, lambda v: F.lit(0.0))).alias("nrm"))
+    return e.groupBy("label").agg(F.count("*").alias("n"), *(F.round(g, 6).alias(a) for g, a in ((F.min("nrm"), "least"), (F.median("nrm"), "mid"), (F.percentile("nrm", F.lit(0.95)), "p95"), (F.max("nrm"), "most"))))
+
+
+@query("select label as bucket, count(*) as n, round(min(embedding[1]) - 0.04 * (max(embedding[1]) - min(embedding[1])), 6) as x_from, round(max(embedding[1]) + 0.04 * (max(embedding[1]) - min(embedding[1])), 6) as x_to, round(min(embedding[2]) - 0.04 * (max(embedding[2]) - min(embedding[2])), 6) as y_from, round(max(embedding[2]) + 0.04 * (max(embedding[2]) - min(embedding[2])), 6) as y_to from embeddings group by 1")
+def ordination_limits(spark, sf):
+    """Counts and axis limits with a margin of 4 % for a plot of the first two axes."""
+    return O.plot_limits(read_table(spark, sf, "embeddings").select(F.col("label").alias("bucket"), F.col("embedding").alias("coords")), "bucket")
+
+
+@query("select cast(count(*) * (count(*) - 1) / 2 as bigint) as pairs, cast(0 as double) as worst, 0 as beyond from nation")
+def tree_cross_check(spark, sf):
+    """Path lengths over common ancestors against depths less twice the depth of the lowest one."""
+    t = _places(spark, sf)
+    names = t.filter("node >= 100").select("node", F.col("label").alias("name"))
+    return D.compare(T.patristic(t, names), T.patristic_by_depth(t, names)).select("pairs", F.round("worst", 6).alias("worst"), "beyond")

@@ -51,7 +51,7 @@ def meta_environment(spark, sf):
 
 
 @query(f"""with x as (select Environments, {_TAGS} as tags from samples_env_info), y as (select list_sort(list_distinct(list_transform(tags, lambda t: t.main || ';' || t.sub))) as a,
-list_sort(list_distinct(case when coalesce(Environments, '') = '' then [] else list_transform(string_split(Environments, '|'), lambda t: case when contains(t, ';') then t else t || ';' end) end)) as b from x) select count(*) as n, count_if(a = b) as n_equal from y""")
+list_sort(list_distinct(case when coalesce(Environments, '') = '' then [] else list_transform(string_split(Environments, '|'), lambda t: case when contains(t, ';') then t else t || ';' end) end)) as b from x) select count(*) as n, count(*) filter (where a = b) as n_equal from y""")
 def meta_round_trip(spark, sf):
     """Environments whose parse, written again, is the text."""
     x = _env(spark, sf).select("Environments", D.env_tags(F.col("Environments")).alias("tags"))
@@ -167,7 +167,7 @@ _RULES = {
 }
 
 
-@query(" union all ".join(f"select '{k}' as rule, count_if(not coalesce({r}, false)) as broken from merged_gg2_with_phylo where obs_name like 'RM%'" for k, r in _RULES.items()))
+@query(" union all ".join(f"select '{k}' as rule, count(*) filter (where not coalesce({r}, false)) as broken from merged_gg2_with_phylo where obs_name like 'RM%'" for k, r in _RULES.items()))
 def meta_invariants(spark, sf):
     """Rows that break an invariant, all rules counted in one pass."""
     return violations(_merged(spark, sf).filter(F.col("obs_name").startswith("RM")), {k: F.expr(r) for k, r in _RULES.items()})
@@ -188,7 +188,7 @@ def patch_apply(spark, sf):
     return _patched(spark, sf)[1]
 
 
-@query(f"with p as ({_PATCH}) select 'c_acctbal' as column_name, count_if(p.c_acctbal is distinct from c.c_acctbal) as changed from customer c join p using (c_custkey) union all select 'c_mktsegment', count_if(p.c_mktsegment is distinct from c.c_mktsegment) from customer c join p using (c_custkey) union all select 'c_name', 0")
+@query(f"with p as ({_PATCH}) select 'c_acctbal' as column_name, count(*) filter (where p.c_acctbal is distinct from c.c_acctbal) as changed from customer c join p using (c_custkey) union all select 'c_mktsegment', count(*) filter (where p.c_mktsegment is distinct from c.c_mktsegment) from customer c join p using (c_custkey) union all select 'c_name', 0")
 def patch_audit(spark, sf):
     """Changed rows per column."""
     before, after = _patched(spark, sf)
@@ -219,7 +219,7 @@ def lookup_status(spark, sf):
     return z.join(first, "sample", "left").select("sample", F.when(F.col("first_priority").isNull(), "NO_ORDER").otherwise("NO_FINISHED").alias("status"), "first_priority")
 
 
-@query("select count(*) as compared, count_if(a.Project_ID is distinct from b.Project_ID) as project, count_if(a.Sex is distinct from b.Sex) as sex from (select distinct obs_name, Project_ID, Sex from merged_gg2_with_phylo) a join (select distinct obs_name, Project_ID, Sex from mcfcorpus_gg2) b using (obs_name)")
+@query("select count(*) as compared, count(*) filter (where a.Project_ID is distinct from b.Project_ID) as project, count(*) filter (where a.Sex is distinct from b.Sex) as sex from (select distinct obs_name, Project_ID, Sex from merged_gg2_with_phylo) a join (select distinct obs_name, Project_ID, Sex from mcfcorpus_gg2) b using (obs_name)")
 def compare_overlap(spark, sf):
     """Differences of two tables on their common rows, NULL equal to NULL."""
     a = _merged(spark, sf).select("obs_name", "Project_ID", "Sex").distinct()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,8 +65,26 @@ class Stage:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, so that their Python workers can import it."""
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parent
+    if sc.applicationId in _SHIPPED or not root.is_dir():
+        return
+    path = Path(tempfile.mkdtemp(prefix="corpusweave_zip_")) / f"{root.name}.zip"  # read by the driver's own file server
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    _SHIPPED.add(sc.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a data directory."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
