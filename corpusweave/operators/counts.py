@@ -50,11 +50,12 @@ def feature_stats(f: DataFrame, features: DataFrame, n_samples: int | None = Non
 
     The corpus totals come from one aggregate row, which is joined back by broadcast: one row whatever the input.
     """
-    s = shares(f)
-    per = s.groupBy("feature").agg(F.count("*").alias("n_samples_observed"), F.sum("n").alias("mass"), F.avg("share").alias("mean_share"))
-    whole = per.agg(F.sum("mass").alias("all_mass"))
-    samples = f.agg(F.count_distinct("sample").alias("n_obs")) if n_samples is None else f.sparkSession.range(1).select(F.lit(n_samples).alias("n_obs"))
-    out = features.select("feature").join(per, "feature", "left").join(F.broadcast(whole)).join(F.broadcast(samples))
+    w = W.partitionBy("sample")
+    s = f.withColumn("share", F.col("n") / F.sum("n").over(w)).withColumn("first", (F.col("feature") == F.min("feature").over(w)).cast("long"))
+    # a sample is counted at its least feature, so the number of samples needs no pass of its own
+    per = s.groupBy("feature").agg(F.count("*").alias("n_samples_observed"), F.sum("n").alias("mass"), F.avg("share").alias("mean_share"), F.sum("first").alias("firsts"))
+    whole = per.agg(F.sum("mass").alias("all_mass"), (F.coalesce(F.sum("firsts"), F.lit(0)) if n_samples is None else F.lit(n_samples)).alias("n_obs"))
+    out = features.select("feature").join(per, "feature", "left").join(F.broadcast(whole))
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     return out.select(
         "feature", F.col("mass").isNotNull().alias("observed"), z("n_samples_observed").alias("n_samples_observed"),
