@@ -109,6 +109,17 @@ def test_lanczos_equals_dense(spark):
     assert min(bottom) < 0
 
 
+def test_lanczos_goes_on_to_its_tolerance(spark):
+    rng = np.random.default_rng(9)
+    m = rng.random((200, 200))
+    d = spark.createDataFrame([(f"{i:03}", f"{j:03}", float(m[i, j])) for i in range(200) for j in range(i + 1, 200)], "i string, j string, dist double").repartition(2).cache()
+    a = [r.eigval for r in O.pcoa(d)[1].orderBy("axis").collect()]
+    b = [r.eigval for r in O.pcoa(d, dense_limit=0)[1].orderBy("axis").collect()]
+    assert b == pytest.approx(a, rel=1e-6)
+    with pytest.raises(ValueError, match="residual"):
+        O.pcoa(d, dense_limit=0, max_steps=60)
+
+
 def test_embedding(spark):
     rng = np.random.default_rng(2)
     x = rng.random((20, 3))
