@@ -7,10 +7,13 @@ without a common feature have distance exactly 1 and need no work.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from corpusweave.operators.merge import number_rows
 from corpusweave.operators.tree import clean, closure
 
 
@@ -28,6 +31,51 @@ def pair_sums(v: DataFrame, hot_rows: int = 4096) -> DataFrame:
     return a.join(b, ["feature", "salt"]).filter(F.col("i") < F.col("j")).groupBy("i", "j").agg(F.sum(F.col("w") * F.least("x", "y")).alias("s"))
 
 
+def block_sums(v: DataFrame, block: int = 512) -> DataFrame:
+    """``i, j, s, t`` (``i < j``) from ``sample, feature, v, w, t``: the sums of ``pair_sums``, and the sum of both samples' ``t``.
+
+    For features that most samples share, where a join has many rows per pair. Samples are dealt out over blocks of about
+    ``block``; a task adds up the minima of two blocks, so pairs are never shuffled. A row goes to as many tasks as blocks are.
+    """
+    v = v.filter("sample IS NOT NULL AND feature IS NOT NULL")
+    kind = dict(v.dtypes)["sample"]
+    blocks = -(-v.select("sample").distinct().count() // block) or 1
+    codes = number_rows(v.select("feature").distinct(), "feature").select("feature", F.col("row_number").cast("int").alias("f"))
+    r = v.join(codes, "feature").select("f", "sample", "v", "w", "t", F.pmod(F.xxhash64("sample"), F.lit(blocks)).cast("int").alias("own"))
+    a = r.select("*", F.col("own").alias("x"), F.explode(F.sequence("own", F.lit(blocks - 1))).alias("y"))
+    b = r.select("*", F.explode(F.sequence(F.lit(0), "own")).alias("x"), F.col("own").alias("y"))
+    a, b = (d.select(*(F.col(c).alias(c) for c in ("f", "sample", "v", "w", "t", "x", "y"))) for d in (a, b))
+
+    def side(d: pd.DataFrame) -> tuple:
+        d = d.sort_values("f", kind="stable")
+        names, at = np.unique(d["sample"].to_numpy(), return_inverse=True)
+        total = np.zeros(len(names))
+        total[at] = d["t"]
+        f, first = np.unique(d["f"].to_numpy(), return_index=True)
+        return names, at, total, d["v"].to_numpy(), d["w"].to_numpy(), f, np.append(first, len(d))
+
+    def sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            none = (left if len(left) else right).iloc[:0]
+            return pd.DataFrame({"i": none["sample"], "j": none["sample"], "s": none["v"], "t": none["t"]})
+        ni, ai, ti, vi, wi, fi, ei = side(left)
+        nj, aj, tj, vj, _, fj, ej = side(right)
+        s, common = np.zeros((len(ni), len(nj))), np.zeros((len(ni), len(nj)), dtype=bool)
+        for p, q in zip(*np.intersect1d(fi, fj, assume_unique=True, return_indices=True)[1:], strict=True):
+            m, o = slice(ei[p], ei[p + 1]), slice(ej[q], ej[q + 1])
+            at = ai[m][:, None], aj[o][None]
+            s[at] += wi[ei[p]] * np.minimum(vi[m][:, None], vj[o][None])
+            common[at] = True
+        if left["x"].iloc[0] == left["y"].iloc[0]:
+            common = np.triu(common, 1)  # names are sorted
+        p, q = np.nonzero(common)
+        i, j = ni[p], nj[q]
+        swap = i > j
+        return pd.DataFrame({"i": np.where(swap, j, i), "j": np.where(swap, i, j), "s": s[p, q], "t": ti[p] + tj[q]})
+
+    return a.groupBy("x", "y").cogroup(b.groupBy("x", "y")).applyInPandas(sums, f"i {kind}, j {kind}, s double, t double")
+
+
 def all_pairs(samples: DataFrame, common: DataFrame) -> DataFrame:
     """Every pair of a sampled set, with ``s`` 0 where nothing is in common. Meant for a sample of stated size."""
     a, b = samples.select(F.col("sample").alias("i")), samples.select(F.col("sample").alias("j"))
@@ -50,12 +98,12 @@ def node_mass(shares: DataFrame, nodes: DataFrame, tips: DataFrame) -> DataFrame
 
 
 def weighted_unifrac(shares: DataFrame, nodes: DataFrame, tips: DataFrame, every_pair: bool = False) -> DataFrame:
-    """``i, j, dist``: weighted UniFrac divided by the sum of both samples' path masses."""
+    """``i, j, dist``: weighted UniFrac divided by the sum of both samples' path masses; without ``every_pair`` as in ``bray_curtis``."""
     v = node_mass(shares, nodes, tips)
     t = v.groupBy("sample").agg(F.sum(F.col("w") * F.col("v")).alias("t"))
-    s = pair_sums(v)
-    if every_pair:
-        s = all_pairs(shares.select("sample").distinct(), s)
+    if not every_pair:
+        return block_sums(v.join(t, "sample")).select("i", "j", (1 - 2 * F.col("s") / F.nullif(F.col("t"), F.lit(0.0))).alias("dist"))
+    s = all_pairs(shares.select("sample").distinct(), pair_sums(v))
     j = s.join(t.select(F.col("sample").alias("i"), F.col("t").alias("ti")), "i").join(t.select(F.col("sample").alias("j"), F.col("t").alias("tj")), "j")
     return j.select("i", "j", (1 - 2 * F.col("s") / F.nullif(F.col("ti") + F.col("tj"), F.lit(0.0))).alias("dist"))
 
@@ -71,6 +119,16 @@ def audit(pairs: DataFrame) -> DataFrame:
     return pairs.agg(F.count("*").alias("pairs"), F.min(d).alias("least"), F.median(d).alias("mid"), F.max(d).alias("most"), F.count_if(F.isnan(d) | d.isNull()).alias("unknown"), F.count_if((d < -1e-3) | (d > 1.001)).alias("out_of_range"))
 
 
+def audit_all(pairs: DataFrame, samples: DataFrame) -> DataFrame:
+    """The same over all pairs of ``samples``; pairs that are not listed have distance 1 and come in as one row with their number."""
+    d = F.col("dist")
+    n = samples.select("sample").distinct().agg((F.count("*") * (F.count("*") - 1) / 2).cast("long").alias("all"))
+    rest = n.crossJoin(pairs.agg(F.count("*").alias("listed"))).select(F.lit(1.0).alias("dist"), (F.col("all") - F.col("listed")).alias("k")).filter("k > 0")
+    p = pairs.select(d.cast("double").alias("dist"), F.lit(1).cast("long").alias("k")).unionByName(rest)
+    times = lambda c: F.coalesce(F.sum(F.when(c, F.col("k"))), F.lit(0)).cast("long")
+    return p.agg(F.coalesce(F.sum("k"), F.lit(0)).cast("long").alias("pairs"), F.min(d).alias("least"), F.percentile(d, F.lit(0.5), F.col("k")).alias("mid"), F.max(d).alias("most"), times(F.isnan(d) | d.isNull()).alias("unknown"), times((d < -1e-3) | (d > 1.001)).alias("out_of_range"))
+
+
 def compare(pairs: DataFrame, truth: DataFrame, tolerance: float = 1e-3) -> DataFrame:
     """Two tables of distances: pairs in both, greatest difference, pairs beyond the tolerance."""
     j = pairs.select("i", "j", F.col("dist").alias("a")).join(truth.select("i", "j", F.col("dist").alias("b")), ["i", "j"])

@@ -1,7 +1,8 @@
 """Queries over trees, sample distances, ordination and embedding.
 
-Distances of samples are taken after sampling, as a sampling step precedes them in use; the pairs with a common feature are
-also computed over all samples. The tree of features is type, brand, part; the tree of places is region, nation, customer.
+Bray-Curtis, UniFrac, their audit and the ordination run over all samples after quality control, as pairs with a common
+feature or node; other pairs have distance 1. The spectrum takes 3000 samples. The queries ``*_sampled`` and
+``distance_audit`` are small: all pairs of 120 samples. The tree of features is type, brand, part; the tree of places is region, nation, customer.
 """
 
 from __future__ import annotations
@@ -40,11 +41,11 @@ def _shares(spark, sf):
     return C.shares(_qc(spark, sf)).select("sample", "feature", "share")
 
 
-def _picked(spark, sf):
-    """Shares of 120 samples drawn without replacement."""
+def _picked(spark, sf, size=120):
+    """Shares of ``size`` samples drawn without replacement."""
     s = _shares(spark, sf)
-    chosen = S.simple_sample(s.select("sample").distinct(), 120, "sample")
-    return cut_lineage(s.join(F.broadcast(chosen), "sample"))  # 120 rows; every distance reads the result several times
+    chosen = S.simple_sample(s.select("sample").distinct(), size, "sample")
+    return cut_lineage(s.join(F.broadcast(chosen), "sample"))  # size rows; every distance reads the result several times
 
 
 @query(f"with {_SHARE} select a.sample as i, b.sample as j, round(1 - sum(least(a.share, b.share)), 6) as dist from s a join s b on a.feature = b.feature and a.sample < b.sample group by 1, 2")
@@ -78,6 +79,13 @@ def distance_unifrac_sampled(spark, sf):
     return D.weighted_unifrac(_picked(spark, sf), nodes, tips, every_pair=True).withColumn("dist", F.round("dist", 6))
 
 
+@query(f"with {_SHARE}, p as (select * from s), {_MASS}, mt as (select sample, sum(w * v) as t from m group by 1), d as (select a.sample as i, b.sample as j, sum(a.w * least(a.v, b.v)) as s from m a join m b on a.node = b.node and a.sample < b.sample group by 1, 2) select i, j, round(1 - 2 * d.s / (x.t + y.t), 6) as dist from d join mt x on x.sample = i join mt y on y.sample = j")
+def distance_unifrac(spark, sf):
+    """Weighted normalised UniFrac of all pairs of samples with a common node; all other pairs have distance 1."""
+    nodes, tips = _feature_tree(spark, sf)
+    return D.weighted_unifrac(cut_lineage(_shares(spark, sf)), nodes, tips).withColumn("dist", F.round("dist", 6))
+
+
 @query(f"with {_PICK}, d as (select 1 - sum(least(a.share, b.share)) as dist from p a join p b on a.feature = b.feature and a.sample < b.sample group by a.sample, b.sample) select count(*) as pairs, round(min(dist), 6) as least, round(median(dist), 6) as mid, round(max(dist), 6) as most, 0 as unknown, 0 as out_of_range from d")
 def distance_audit(spark, sf):
     """Range and faults of sampled distances."""
@@ -85,6 +93,14 @@ def distance_audit(spark, sf):
     return a.select("pairs", *(F.round(c, 6).alias(c) for c in ("least", "mid", "most")), "unknown", "out_of_range")
 
 
+@query(f"with {_SHARE}, k as (select distinct sample from q), c as (select a.sample as i, b.sample as j, 1 - sum(least(a.share, b.share)) as dist from s a join s b on a.feature = b.feature and a.sample < b.sample group by 1, 2), d as (select coalesce(dist, 1) as dist from k x join k y on x.sample < y.sample left join c on c.i = x.sample and c.j = y.sample) select count(*) as pairs, round(min(dist), 6) as least, round(median(dist), 6) as mid, round(max(dist), 6) as most, 0 as unknown, 0 as out_of_range from d")
+def distance_audit_all(spark, sf):
+    """Range and faults of the distances of all pairs of samples."""
+    s = cut_lineage(_shares(spark, sf))
+    a = D.audit_all(cut_lineage(D.bray_curtis(s)), s)
+    return a.select("pairs", *(F.round(c, 6).alias(c) for c in ("least", "mid", "most")), "unknown", "out_of_range")
+
+
 _PLACES = "select 0 as node, null as parent, 'world' as label, cast(0 as double) as length union all select 1 + r_regionkey, 0, r_name, cast(3 as double) from region union all select 100 + n_nationkey, 1 + n_regionkey, n_name, cast(0.5 + n_nationkey % 4 as double) from nation"
 
 
@@ -191,22 +207,28 @@ def distance_agreement(spark, sf):
     return D.agreement(d, "other", "dist").select("pairs", F.round("pearson", 6).alias("pearson"), F.round("relative_deviation", 6).alias("relative_deviation"))
 
 
+def _pcoa(spark, sf):
+    s = cut_lineage(_shares(spark, sf))
+    return O.pcoa(D.bray_curtis(s), points=s.select(F.col("sample").alias("name")), missing=1.0)
+
+
 @query()
 def ordination_pcoa(spark, sf):
-    """Ten principal coordinates of sampled Bray-Curtis distances."""
-    return O.pcoa(D.bray_curtis(_picked(spark, sf), every_pair=True))[0]
+    """Ten principal coordinates of the Bray-Curtis distances of all samples."""
+    return _pcoa(spark, sf)[0]
 
 
 @query()
 def ordination_eigenvalues(spark, sf):
     """Eigenvalues and explained shares of the ordination."""
-    return O.pcoa(D.bray_curtis(_picked(spark, sf), every_pair=True))[1]
+    return _pcoa(spark, sf)[1]
 
 
 @query()
 def ordination_spectrum(spark, sf):
-    """Both ends of the spectrum of sampled distances."""
-    return O.negative_spectrum(D.bray_curtis(_picked(spark, sf), every_pair=True))
+    """Both ends of the spectrum of the distances of 3000 samples, the size of the reference's audit."""
+    s = _picked(spark, sf, 3000)
+    return O.negative_spectrum(D.bray_curtis(s), points=s.select(F.col("sample").alias("name")), missing=1.0)
 
 
 @query()

@@ -82,6 +82,15 @@ def test_unifrac(spark):
     assert got["u", "v"] == pytest.approx(0.5) and got["u", "w"] == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("block", [512, 1])
+def test_block_sums_equal_pair_sums(spark, block):
+    v = spark.createDataFrame([(*r, 1.0 + (r[1] == "c"), 2.0) for r in [*SHARES, ("x", "z", 1.0)]], "sample string, feature string, v double, w double, t double")
+    want = {(r.i, r.j): r.s for r in D.pair_sums(v).collect()}
+    got = D.block_sums(v, block).collect()
+    assert {(r.i, r.j): r.s for r in got} == pytest.approx(want) and {r.t for r in got} == {4.0}
+    assert D.block_sums(v.limit(0), block).count() == 0
+
+
 def line(spark):
     x = {"a": 0.0, "b": 1.0, "c": 3.0}
     return spark.createDataFrame([(i, j, abs(x[i] - x[j])) for i in x for j in x if i < j], "i string, j string, dist double"), x
@@ -120,6 +129,37 @@ def test_lanczos_goes_on_to_its_tolerance(spark):
         O.pcoa(d, dense_limit=0, max_steps=60)
 
 
+@pytest.mark.parametrize("limit", [2000, 0])
+def test_pcoa_of_listed_pairs(spark, limit):
+    near = {("a", "b"): 0.5, ("b", "c"): 0.25}
+    names = [(x,) for x in "abcde"]  # d and e are in no pair
+    some = spark.createDataFrame([(i, j, v) for (i, j), v in near.items()], "i string, j string, dist double")
+    every = spark.createDataFrame([(i, j, near.get((i, j), 1.0)) for (i,) in names for (j,) in names if i < j], "i string, j string, dist double")
+    points = spark.createDataFrame(names, "name string")
+    coords, values = O.pcoa(some, 3, limit, points=points, missing=1.0)
+    want = O.pcoa(every, 3)[1].orderBy("axis").collect()
+    got = values.orderBy("axis").collect()
+    assert [r.eigval for r in got] == pytest.approx([r.eigval for r in want]) and got[0].trace == pytest.approx(want[0].trace)
+    assert {r["name"] for r in coords.collect()} == set("abcde")
+    spectrum = lambda *a, **k: [r.eigval for r in O.negative_spectrum(*a, **k).orderBy("side", "position").collect()]
+    assert spectrum(some, points=points, missing=1.0) == pytest.approx(spectrum(every))
+
+
+def test_audit_of_all_pairs(spark):
+    s = spark.createDataFrame([*SHARES, ("x", "z", 1.0)], "sample string, feature string, share double")
+    assert tuple(D.audit_all(D.bray_curtis(s), s).head()) == (6, 0.5, 1.0, 1.0, 0, 0)
+    assert tuple(D.audit_all(D.bray_curtis(s), s).head()) == tuple(D.audit(D.bray_curtis(s, every_pair=True)).head())
+
+
+def test_whole_corpus_is_measured(spark):
+    from __spark_entry__ import oracle_sql, queries
+
+    sf = "/root/testdata/sf0.01"  # 746 samples
+    assert queries()["ordination_pcoa"](spark, sf).count() == 746
+    assert queries()["distance_audit_all"](spark, sf).head().pairs == 746 * 745 // 2
+    assert {"distance_unifrac", "distance_audit_all"} <= set(oracle_sql())
+
+
 def test_embedding(spark):
     rng = np.random.default_rng(2)
     x = rng.random((20, 3))
