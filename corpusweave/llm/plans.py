@@ -156,3 +156,9 @@ def p9_rates(spark: SparkSession, sf: str) -> DataFrame:
     """Documents, cut documents and their share per source."""
     n = _judged(spark, sf).groupBy("source").agg(F.count("*").alias("n_docs"), F.count_if("cut").alias("n_cut"))
     return n.withColumn("share_cut", F.round(F.col("n_cut") / F.col("n_docs"), 6))
+
+
+@query
+def p9_evidence(spark: SparkSession, sf: str) -> DataFrame:
+    """Cut documents per source and kind of evidence: which comparison decided."""
+    return _judged(spark, sf).filter("cut").groupBy("source", "evidence").agg(F.count("*").alias("n_cut"))

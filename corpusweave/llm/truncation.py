@@ -1,30 +1,37 @@
 """Texts that were cut before their end.
 
-Three comparisons find them, each of them a self-join by prefix or of what follows a prefix:
+The method is a self-join by prefix: values are sorted, and a value that is a strict prefix of longer ones stands directly
+before one of them, so neighbours are compared and no pairs are built (``strict_prefixes``). It is applied at two levels,
+whatever the length of the values:
 
-* whole texts: all distinct texts are range-sorted, where a text that is a strict prefix of others stands directly before
-  one of them, so comparing neighbours finds every such text without building pairs;
-* last words: a last word that the corpus never has there inside a text, while longer words that it has there start with it,
-  was cut;
-* last contexts: the last one to three tokens are looked up among all places of the corpus with the same tokens. If the text
-  goes on there (nearly) always, it was cut; if a sentence, line or list item ends there, it may be whole.
+* whole texts: a text without a closing mark that is a strict prefix of a longer text was cut;
+* last words: a last word that the corpus never has there inside a text was cut if it is a strict prefix of a longer word
+  that follows the same word (or of any word, where the corpus knows neither the word nor its place).
 
-A text that ends in a closing mark is whole, except where a replacement character shows a cut inside a character. Between
-these lie texts whose last words can end a sentence but have no full stop. Such a text is a case if it is a strict prefix of
-another, or if it has exactly a length at which its source cuts. These lengths, in characters or bytes, are learned from the
-source's certain cases: a length is a limit if at least ``LIMIT_DOCS`` and ``LIMIT_SHARE`` of them have it.
+What is left are texts that end between two words and of which no longer copy exists. A second signal looks at the prefixes
+of fixed length that end at the text's last word: windows of one to three tokens, hashed. Longer windows elsewhere with the
+same prefix show how the corpus goes on there. If it goes on (nearly) always, the text was cut; if a sentence, line or list
+item ends there, it may be whole. ``evidence`` says which of the comparisons decided: ``prefix``, ``word``, ``context``,
+``broken`` (a replacement character shows a cut inside a character) or ``limit``.
 
-The prefix join of whole texts alone finds only cuts of which a longer copy exists; the other two comparisons are needed for
-the rest. Statistics cover all distinct texts; equal texts count once, so many copies of a cut text prove nothing.
+A text that ends in a closing mark is whole, except where it is broken. A text whose last words can end a sentence but have
+no full stop is a case if it has exactly a length at which its source cuts. These lengths, in characters or bytes, are
+learned from the source's certain cases: a length is a limit if at least ``LIMIT_DOCS`` and ``LIMIT_SHARE`` of them have it.
+
+Only what the ends of texts ask for is counted: a bitmap of the hashes of all asked windows, ``ASK_BITS`` bits at any input
+size, goes to the tasks, which drop other windows before anything is shuffled. Foreign windows that pass it (hashes share
+bits) are dropped by the join, so the bitmap changes no result. Statistics cover all distinct texts; equal texts count once,
+so many copies of a cut text prove nothing.
 
 Defined cases: NULL, empty and blank texts are no cases. Trailing blanks, ellipses (also of dots) and replacement characters
 are ignored before the last word is judged. Documents without a source are judged like others, their source being one of its own.
-Repeated documents are cases together. Very long texts are processed whole.
+Repeated documents are cases together. Texts, words and rests of any length are processed whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from corpusweave.functions.text import key_or_null
-from corpusweave.session import cut_lineage, partitions_of
+from corpusweave.session import Stage, cut_lineage, partitions_of
 
 #: Stripped from the end before a text is judged.
 TRAILING = " \t\r\n\x0b\x0c\x85\xa0  　​…�"
@@ -47,17 +54,18 @@ _LET = rf"[[\p{{L}}\p{{M}}]--{_IDEO}]"
 _ALNUM = rf"[[\p{{L}}\p{{M}}\p{{N}}]--{_IDEO}]"
 _TOKEN = regex.compile(rf"{_IDEO}|{_LET}+(?:['’\-]{_LET}+)*|{_ALNUM}*\p{{N}}{_ALNUM}*(?:[.,:/\-–]\p{{N}}+)*|\n|[^\S\n]+|.", regex.S | regex.V1)
 _DIGIT = regex.compile(r"\p{N}")
-_ZERO = regex.compile(r"(?<![\p{N}.,:/\-–])0\.$")
 _LABEL = regex.compile(r"\s*\p{Lu}\p{L}*(?: \p{Ll}+)?(?: \(\p{L}+\))?: ")
 #: Contexts seen less often than this yield to shorter ones.
 LEAST_SEEN = 4
 #: Below this share of endings among its occurrences, a last context belongs inside a sentence.
 ENDS_RARELY = 0.15
 LIMIT_DOCS, LIMIT_SHARE = 5, 0.05
-#: Context occurrences that a task holds before it sums them up.
-_FLUSH = 2_000_000
+#: Bits of the map of asked windows.
+ASK_BITS = 1 << 25
 #: Characters that are tokenized together.
-_CHUNK_CHARS = 2_000_000
+_CHUNK_CHARS = 4_000_000
+#: Distinct pieces a worker remembers.
+_MEMO = 400_000
 
 
 def _fold(token: str) -> str:
@@ -78,24 +86,25 @@ def _closed(core: str) -> bool:
 
 
 #: Codes of the marks between lines and texts, and of a place before the first token.
-_PROSE, _LABELLED, _END_CLOSED, _END_OPEN, _BLANK = range(5)
+_PROSE, _LABELLED, _END_CLOSED, _END_OPEN = range(4)
+_FIRST = 4
 _WORD, _CLOSE, _STOP, _ASK, _SEMI, _OTHER = range(6)
 
 
-class _Lexicon:
-    """Codes of tokens, their folded text, kind and hash; a worker's memory of one batch."""
+class _Lexicon(dict):
+    """Codes of the tokens of every piece between blanks, their folded text, kind and hash; a worker's memory.
+
+    A token never spans a blank, so a piece is tokenized once, however often it occurs.
+    """
 
     def __init__(self) -> None:
-        self.code: dict[str, int] = {}
-        self.folded: list[str] = ["^"] * 5
+        super().__init__()
+        self.folded: list[str] = ["^"] * 4
         self.by_fold: dict[str, int] = {}
-        self.kind: list[int] = [_OTHER] * 5
-        self.hash: list[int] = [xxhash.xxh64_intdigest("^")] * 5
+        self.kind: list[int] = [_OTHER] * 4
+        self.hash: list[int] = [xxhash.xxh64_intdigest("^")] * 4
 
-    def add(self, raw: str) -> int:
-        if raw.isspace():
-            self.code[raw] = _BLANK
-            return _BLANK
+    def _code(self, raw: str) -> int:
         t = _fold(raw)
         c = self.by_fold.get(t)
         if c is None:
@@ -103,12 +112,14 @@ class _Lexicon:
             self.folded.append(t)
             self.kind.append(_SEMI if t == ";" else _CLOSE if t in _CLOSERS else _STOP if t in _STOPS else _ASK if t in _OPEN else _WORD)
             self.hash.append(xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")))
-        self.code[raw] = c
         return c
 
-    def line(self, line: str) -> list[int]:
-        get, add = self.code.get, self.add
-        return [get(t) or add(t) for t in _TOKEN.findall(line)]
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        out = self[piece] = tuple(self._code(t) for t in _TOKEN.findall(piece) if not t.isspace())
+        return out
+
+    def line(self, line: str) -> Iterator[int]:
+        return chain.from_iterable(map(self.__getitem__, line.split()))
 
 
 def _line_kind(line: str) -> int:
@@ -132,18 +143,17 @@ def _contexts(kind: np.ndarray, b: np.ndarray, a: np.ndarray, w: np.ndarray) ->
 
 
 def _flat(lex: _Lexicon, cores: list[str]) -> np.ndarray:
-    """All tokens of the texts as codes, a mark before every line and after every text, blanks left out."""
+    """All tokens of the texts as codes, a mark before every line and after every text."""
     flat: list[int] = []
     for core in cores:
         for line in core.split("\n"):
             flat.append(_line_kind(line))
-            flat += lex.line(line)
+            flat.extend(lex.line(line))
         flat.append(_END_CLOSED if _closed(core) else _END_OPEN)
-    out = np.array(flat, dtype=np.int64)
-    return out[out != _BLANK]
+    return np.array(flat, dtype=np.int32)
 
 
-def _chunks(cores: list[str]) -> Iterator[list[str]]:
+def _chunks(cores: Iterator[str]) -> Iterator[list[str]]:
     """Texts in groups of bounded length, so that the working memory doesn't grow with the texts of a batch."""
     part, size = [], 0
     for core in cores:
@@ -156,193 +166,198 @@ def _chunks(cores: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def _occurrences(lex: _Lexicon, cores: list[str]) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], tuple[list[str], list[str]]]:
-    """Context keys of all words of the texts, whether a unit ends there and whether the place is inside its text; and the
-    distinct pairs of a word and the one before it among the places inside."""
+def _occurrences(lex: _Lexicon, cores: list[str], asked: np.ndarray) -> tuple[list[np.ndarray], tuple[list[str], list[str]]]:
+    """Of the asked windows: key, how often seen, ended, inside its text; and the distinct pairs of a word inside a text and
+    the one before it."""
     arr = _flat(lex, cores)
     if not len(arr):
-        return (np.zeros(0, np.int64),) * 3, ([], [])
-    kinds, hashes = np.array(lex.kind), np.array(lex.hash, dtype=np.uint64)
-    mark = arr < _BLANK
+        return [np.zeros(0, np.int64)] * 4, ([], [])
+    kinds, hashes = np.array(lex.kind, dtype=np.int8)[arr], np.array(lex.hash, dtype=np.uint64)
+    mark = arr < _FIRST
     n = len(arr)
     at = np.arange(n)
-    # the line's kind at every place
-    starts = np.where(arr <= _LABELLED, at, 0)
-    kind = arr[np.maximum.accumulate(starts)]
+    kind = arr[np.maximum.accumulate(np.where(arr <= _LABELLED, at, 0))]  # of the line at every place
     # the next token that closes no bracket or quotation
-    solid = np.where(mark | (kinds[arr] != _CLOSE), at, n)
-    after = np.minimum.accumulate(solid[::-1])[::-1]
-    nxt = arr[np.minimum(np.append(after[1:], n), n - 1)]
-    word = ~mark & (kinds[arr] == _WORD)
-    end = (nxt < _BLANK) | (kinds[nxt] == _STOP) | ((kind == _LABELLED) & (kinds[nxt] == _SEMI))
-    inner = nxt != _END_OPEN
+    solid = np.where(mark | (kinds != _CLOSE), at, n)
+    after = np.minimum(np.append(np.minimum.accumulate(solid[::-1])[::-1][1:], n), n - 1)
+    end = mark[after] | (kinds[after] == _STOP) | ((kind == _LABELLED) & (kinds[after] == _SEMI))
+    inner = arr[after] != _END_OPEN
     a = np.where(np.append(True, mark[:-1]), _PROSE, np.append(_PROSE, arr[:-1]))
     b = np.where(a == _PROSE, _PROSE, np.append(_PROSE, a[:-1]))
-    i = np.flatnonzero(word)
-    keys = np.concatenate(_contexts(kind[i], hashes[b[i]], hashes[a[i]], hashes[arr[i]]))
+    i = np.flatnonzero(~mark & (kinds == _WORD))
+    # equal windows of three are summed up first; the shorter ones are made from these
+    ka, kb, kw, kk = arr[i], a[i], b[i], kind[i]
+    with np.errstate(over="ignore"):
+        whole = _mix(6, kk.astype(np.uint64), hashes[kw], hashes[kb], hashes[ka])
+    _, first, group = np.unique(whole, return_index=True, return_inverse=True)
+    m = len(first)
+    counts = [np.bincount(group, minlength=m), *(np.bincount(group, weights=x[i], minlength=m).astype(np.int64) for x in (end, inner))]
+    kw, kb, ka, kk = kw[first], kb[first], ka[first], kk[first]
+    keys = np.concatenate(_contexts(kk, hashes[kw], hashes[kb], hashes[ka]))
+    hit = np.flatnonzero(_has(asked, keys))
+    unique, group = np.unique(keys[hit], return_inverse=True)
+    sums = [np.bincount(group, weights=c[hit % m], minlength=len(unique)).astype(np.int64) for c in counts]
     long = np.array([len(t) > 1 and t[0].isalnum() for t in lex.folded])
-    k = i[inner[i] & long[arr[i]]]
-    pairs = np.unique(a[k] * len(lex.folded) + arr[k])
-    names = tuple([lex.folded[c] for c in x] for x in (pairs // len(lex.folded), pairs % len(lex.folded)))
-    return (keys, np.tile(end[i], 5).astype(np.int64), np.tile(inner[i], 5).astype(np.int64)), names
+    k = np.flatnonzero((counts[2] > 0) & long[ka])
+    pairs = np.unique(kb[k].astype(np.int64) * len(lex.folded) + ka[k])
+    return [unique, *sums], tuple([lex.folded[c] for c in x] for x in (pairs // len(lex.folded), pairs % len(lex.folded)))
+
+
+def _has(asked: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & (ASK_BITS - 1)
+    return (asked[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def asked_windows(tails: DataFrame) -> np.ndarray:
+    """The bitmap of the keys in ``keys``: its words are put together on the executors, at most ``ASK_BITS / 64`` come here."""
+    at = F.col("key").bitwiseAND(F.lit(ASK_BITS - 1))
+    words = tails.select(F.explode("keys").alias("key")).groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(ASK_BITS // 64, dtype=np.int64)
+    out[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+    return out
 
 
-def corpus_counts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One pass over ``core``: contexts ``key, seen, ended, inner`` (how often each occurs, ends a unit, and is not last in
-    its text) and the distinct pairs ``prev, w`` of a word inside a text and the word before it.
+def corpus_counts(texts: DataFrame, tails: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One pass over ``core``: of the windows that ``tails`` ask for ``key, seen, ended, inner`` (how often each occurs, ends
+    a unit, and is not last in its text), and the distinct pairs ``prev, w`` of a word inside a text and the word before it.
 
     Both come as partial results of the tasks, which are written out once, because two summaries read them.
     """
+    asked = texts.sparkSession.sparkContext.broadcast(asked_windows(tails))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
         names = ["key", "seen", "ended", "inner", "prev", "w"]
-
-        def flush() -> pa.RecordBatch:
-            keys, end, inner = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
-            unique, at = np.unique(keys, return_inverse=True)
-            n = len(unique)
-            cols = [unique, np.bincount(at, minlength=n), *(np.bincount(at, weights=x, minlength=n) for x in (end, inner))]
-            return pa.RecordBatch.from_arrays([*(pa.array(c.astype(np.int64)) for c in cols), pa.nulls(n, pa.string()), pa.nulls(n, pa.string())], names=names)
-
-        for b in batches:
-            for part in _chunks(b.column(0).to_pylist()):
-                found, pairs = _occurrences(_Lexicon(), part)
-                held.append(found)
-                n = len(pairs[0])
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(n, pa.int64()) for _ in range(4)), *(pa.array(x, pa.string()) for x in pairs)], names=names)
-                if sum(len(x[0]) for x in held) > _FLUSH:
-                    yield flush()
-        if held:
-            yield flush()
-
-    raw = cut_lineage(texts.select("core").mapInArrow(run, "key bigint, seen bigint, ended bigint, inner bigint, prev string, w string"))
+        lex = _Lexicon()
+        for part in _chunks(core for b in batches for core in b.column(0).to_pylist()):
+            if len(lex) > _MEMO:
+                lex = _Lexicon()
+            windows, pairs = _occurrences(lex, part, asked.value)
+            n, m = len(windows[0]), len(pairs[0])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, windows), pa.nulls(n, pa.string()), pa.nulls(n, pa.string())], names=names)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(m, pa.int64()) for _ in range(4)), *(pa.array(x, pa.string()) for x in pairs)], names=names)
+
+    raw = Stage(texts.sparkSession).put(texts.select("core").mapInArrow(run, "key bigint, seen bigint, ended bigint, inner bigint, prev string, w string"))
     contexts = raw.filter("key IS NOT NULL").groupBy("key").agg(*(F.sum(c).alias(c) for c in ("seen", "ended", "inner")))
     return contexts, raw.filter("w IS NOT NULL").select("prev", "w").distinct()
 
 
 def open_tails(texts: DataFrame) -> DataFrame:
-    """The texts without a closing mark: ``h, open`` (ends in a mark that asks for more), the last word, the one before, the context keys."""
+    """The texts without a closing mark: ``h, open`` (ends in a mark that asks for more), the last word, the one before, the keys of its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
             lex = _Lexicon()
             for h, core in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                decimal = _ZERO.search(core) is not None
-                if _closed(core) and not decimal:
+                if _closed(core):
                     continue
                 line = core.rsplit("\n", 1)[-1]
-                toks = [c for c in lex.line(line) if c != _BLANK]
-                if decimal:
-                    toks = toks[:-1]
+                toks = list(lex.line(line))
                 if not toks or lex.kind[toks[-1]] != _WORD:
-                    out.append((h, True, None, None, None, decimal))
+                    out.append((h, True, None, None, None))
                 else:
                     prev, before = ([_PROSE, _PROSE, *toks])[-2], ([_PROSE, _PROSE, *toks])[-3]
                     parts = (np.array([lex.hash[c]], dtype=np.uint64) for c in (before, prev, toks[-1]))
                     keys = [int(x[0]) for x in _contexts(np.array([_line_kind(line)]), *parts)]
-                    out.append((h, False, lex.folded[prev], lex.folded[toks[-1]], keys, decimal))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 6
-            kinds = [pa.string(), pa.bool_(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=["h", "open", "prev", "word", "keys", "decimal"])
+                    out.append((h, False, lex.folded[prev], lex.folded[toks[-1]], keys))
+            cols = list(zip(*out, strict=True)) if out else [[]] * 5
+            kinds = [pa.string(), pa.bool_(), pa.string(), pa.string(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=["h", "open", "prev", "word", "keys"])
 
-    return texts.select("h", "core").mapInArrow(run, "h string, open boolean, prev string, word string, keys array<bigint>, decimal boolean")
+    return texts.select("h", "core").mapInArrow(run, "h string, open boolean, prev string, word string, keys array<bigint>")
 
 
-def strict_prefixes(texts: DataFrame) -> DataFrame:
-    """``h`` of the texts that are strict prefixes of others: neighbours in the sorted order are compared.
+def strict_prefixes(asks: DataFrame, values: DataFrame, group: str, value: str) -> DataFrame:
+    """``group, value`` of the rows of ``asks`` whose value is a strict prefix of a value of ``values`` in the same group.
 
-    Every partition of the range sort compares its own neighbours; what stands at the seams (the first and last text of each
-    partition) is compared afterwards, one row per partition.
+    Both are sorted together, in range partitions. The values that start with an ask come directly after it, so an ask has
+    only to be compared with the first value after it that is greater. Asks that wait at the end of a partition are compared
+    with the first value of the next one that has any; of asks with the same group only prefixes of one another can wait.
+    NULL groups and values match nothing; repeated rows are harmless. No length is limited.
     """
-    n = partitions_of(texts.sparkSession)
+    n = partitions_of(asks.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = before = before_h = part = None
+        names, kinds = ["part", "kind", "g", "v"], [pa.int32(), pa.int8(), pa.string(), pa.string()]
+        waiting: list[tuple[str, str]] = []
+        first = part = None
         for b in batches:
-            found = []
-            for h, core, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if before is None:
-                    first, part = core, p
-                elif core.startswith(before):
-                    found.append(before_h)
-                before, before_h = core, h
-            k = len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.string()), pa.nulls(k, pa.string())], names=["h", "part", "first", "last"])
-        if before is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([before_h], pa.string()), pa.array([part], pa.int32()), pa.array([first], pa.string()), pa.array([before], pa.string())], names=["h", "part", "first", "last"])
-
-    ranged = texts.select("h", "core").repartitionByRange(n, "core").sortWithinPartitions("core").withColumn("part", F.spark_partition_id())
-    out = cut_lineage(ranged.mapInArrow(run, "h string, part int, first string, last string"))
-    seams = out.filter(F.col("part").isNotNull()).withColumn("next", F.lead("first").over(W.orderBy("part")))  # one row per partition
-    return out.filter(F.col("part").isNull()).select("h").unionByName(seams.filter(F.col("next").startswith(F.col("last"))).select("h"))
+            out: list[tuple] = []
+            for g, v, ask, p in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                part = p
+                if ask:
+                    if waiting and not (waiting[-1][0] == g and v.startswith(waiting[-1][1])):
+                        waiting = [w for w in waiting if w[0] == g and v.startswith(w[1])]  # no later value can start with the others
+                    if not waiting or waiting[-1] != (g, v):
+                        waiting.append((g, v))
+                    continue
+                if first is None:
+                    first = (g, v)
+                if waiting:
+                    out.extend((p, 0, *w) for w in waiting if w[0] == g and v.startswith(w[1]) and v != w[1])
+                    waiting = [(g, v)] if waiting[-1] == (g, v) else []
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(list(zip(*out, strict=True)) or [[]] * 4, kinds, strict=True)], names=names)
+        rest = [(part, 1, *w) for w in waiting] + ([(part, 2, *first)] if first else [])
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(list(zip(*rest, strict=True)) or [[]] * 4, kinds, strict=True)], names=names)
+
+    both = asks.select(group, value, F.lit(True).alias("ask")).unionByName(values.select(group, value, F.lit(False).alias("ask"))).filter(F.col(group).isNotNull() & F.col(value).isNotNull())
+    placed = both.repartitionByRange(n, group, value).sortWithinPartitions(group, value, F.desc("ask")).withColumn("part", F.spark_partition_id())
+    out = Stage(asks.sparkSession).put(placed.mapInArrow(run, "part int, kind tinyint, g string, v string"))
+    # one row per partition: the first value of the next partition that has one
+    firsts = out.filter("kind = 2").select(F.col("part").alias("p2"), F.col("g").alias("g2"), F.col("v").alias("v2"))
+    seams = firsts.withColumn("lo", F.lag("p2", 1, -1).over(W.orderBy("p2")))
+    late = out.filter("kind = 1").join(F.broadcast(seams), (F.col("part") >= F.col("lo")) & (F.col("part") < F.col("p2"))).filter((F.col("g") == F.col("g2")) & F.col("v2").startswith(F.col("v")) & (F.col("v") != F.col("v2")))
+    return out.filter("kind = 0").select("g", "v").unionByName(late.select("g", "v")).distinct().toDF(group, value)
 
 
 def judge_texts(texts: DataFrame) -> DataFrame:
-    """``h, ends, certain`` of the open texts; ``ends`` is the share of endings at their last context, NULL if unknown."""
-    contexts, pairs = corpus_counts(texts)
+    """``h, ends, certain, evidence`` of the open texts; ``ends`` is the share of endings at their last context, NULL if unknown."""
     tails = cut_lineage(open_tails(texts))
-    looked = tails.filter(F.col("keys").isNotNull()).select("h", "prev", "word", "decimal", F.posexplode("keys").alias("at", "key"))
+    contexts, pairs = corpus_counts(texts, tails)
+    looked = tails.filter(F.col("keys").isNotNull()).select("h", "prev", "word", F.posexplode("keys").alias("at", "key"))
     looked = looked.join(contexts, "key", "left")
     at = lambda i, c: F.max(F.when(F.col("at") == i, F.coalesce(F.col(c), F.lit(0))))
-    per = looked.groupBy("h", "prev", "word", "decimal").agg(*(at(i, c).alias(f"{c}{i}") for i in range(5) for c in ("seen", "ended", "inner")))
-    # the text's own last token is not evidence, unless a closing mark follows it (then it was counted inside)
-    own = F.when(F.col("decimal"), 0).otherwise(1)
+    per = looked.groupBy("h", "prev", "word").agg(*(at(i, c).alias(f"{c}{i}") for i in range(5) for c in ("seen", "ended", "inner")))
+    # the text's own last token is not evidence
     unknown = F.col("inner3") <= 0
     share = F.lit(None).cast("double")
     for i in (3, 2, 1, 0):
-        seen, ended = F.col(f"seen{i}") - own, F.col(f"ended{i}") - own
+        seen, ended = F.col(f"seen{i}") - 1, F.col(f"ended{i}") - 1
         share = F.when(seen >= (1 if i == 3 else LEAST_SEEN), ended / F.nullif(seen, F.lit(0))).otherwise(share)
-    place = F.when(F.col("seen4") - own >= LEAST_SEEN, (F.col("ended4") - own) / F.nullif(F.col("seen4") - own, F.lit(0)))
+    place = F.when(F.col("seen4") - 1 >= LEAST_SEEN, (F.col("ended4") - 1) / F.nullif(F.col("seen4") - 1, F.lit(0)))
     # a short rest may be a word elsewhere, but then never after the word before it
-    strange = (F.col("inner1") <= 0) & ~F.col("decimal")
-    per = per.select("h", "prev", "word", "decimal", (unknown & place.isNull()).alias("alone"), strange.alias("strange"), F.when(unknown, place).otherwise(share).alias("ends"))
-    longer = longer_words(pairs, per.filter("strange").select("prev", "word", "alone").distinct())
-    per = per.join(longer.withColumn("cut_word", F.lit(True)), ["prev", "word", "alone"], "left").withColumn("cut_word", F.coalesce("cut_word", F.lit(False)) & F.col("strange"))
+    per = cut_lineage(per.select("h", "prev", "word", (unknown & place.isNull()).alias("alone"), (F.col("inner1") <= 0).alias("strange"), F.when(unknown, place).otherwise(share).alias("ends")))
+    asks = per.filter("strange").select(F.when(F.col("alone"), F.lit("")).otherwise(F.concat(F.lit("="), "prev")).alias("place"), "word").distinct()
+    values = pairs.select(F.inline(F.array(F.struct(F.concat(F.lit("="), "prev").alias("place"), F.col("w").alias("word")), F.struct(F.lit("").alias("place"), F.col("w").alias("word")))))
+    longer = strict_prefixes(asks, values, "place", "word").withColumn("cut_word", F.lit(True))
+    per = per.withColumn("place", F.when(F.col("alone"), F.lit("")).otherwise(F.concat(F.lit("="), "prev"))).join(longer, ["place", "word"], "left")
+    word = F.coalesce("cut_word", F.lit(False)) & F.col("strange")
     low = F.coalesce(F.col("ends") < ENDS_RARELY, F.lit(False))
-    judged = per.select("h", "ends", (F.col("cut_word") | low).alias("certain"), "decimal")
-    judged = judged.unionByName(tails.filter("open").select("h", F.lit(0.0).alias("ends"), (~F.col("decimal")).alias("certain"), "decimal"))
-    # "0." is a cut decimal where the corpus has numbers that are (nearly) always followed by more
-    return judged.filter(~F.col("decimal") | F.col("certain")).select("h", "ends", "certain")
-
-
-def longer_words(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """Those of ``prev, word, alone`` that are strict prefixes of words inside texts: of a word that follows ``prev``, or of
-    any word where ``alone`` says that the corpus knows neither the word nor its place. They meet on prefixes of equal length."""
-    words = words.filter(F.col("word").isNotNull()).withColumn("n", F.length("word")).filter(F.col("n") <= 64)  # no word is longer
-    used = [r["n"] for r in words.select("n").distinct().collect()]  # at most 64 numbers
-    if not used:
-        return words.drop("n").limit(0)
-    pairs = cut_lineage(pairs)
-
-    def heads(df: DataFrame, *keys: str) -> DataFrame:
-        cut = df.select(*keys, "w", F.explode(F.array(*map(F.lit, used))).alias("n")).filter(F.length("w") > F.col("n"))
-        return cut.select(*keys, F.substring(F.col("w"), F.lit(1), F.col("n")).alias("word")).distinct()
-
-    alone = words.filter("alone").join(heads(pairs.select("w").distinct()), "word", "left_semi")
-    after = words.filter("NOT alone").join(heads(pairs.join(words.filter("NOT alone").select("prev").distinct(), "prev", "left_semi"), "prev"), ["prev", "word"], "left_semi")
-    return alone.unionByName(after).select("prev", "word", "alone")
+    judged = per.select("h", "ends", (word | low).alias("certain"), F.when(word, F.lit("word")).when(low, F.lit("context")).alias("evidence"))
+    return judged.unionByName(tails.filter("open").select("h", F.lit(0.0).alias("ends"), F.lit(True).alias("certain"), F.lit("context").alias("evidence")))
 
 
 def judge_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", salts: int = 16) -> DataFrame:
-    """``doc_id, source, cut`` of every document; the source is folded, NULL where missing."""
+    """``doc_id, source, cut, evidence`` of every document; the source is folded, NULL where missing."""
     d = docs.select(F.col(id_col).alias("doc_id"), key_or_null(F.col(source_col)).alias("source"), F.col(text_col).cast("string").alias("text"))
     # several dots are an ellipsis, one is a full stop
     d = d.withColumn("core", F.rtrim("text", F.lit(TRAILING)))
     d = d.withColumn("core", F.when(F.col("core").endswith(".."), F.rtrim("core", F.lit(TRAILING + "."))).otherwise(F.col("core")))
     real = F.coalesce(F.length(F.trim("core", F.lit(TRAILING))) > 0, F.lit(False))
     d = d.withColumn("h", F.when(real, F.md5("core")))
-    texts = cut_lineage(d.filter(real).select("h", "core").groupBy("h").agg(F.min("core").alias("core")))
-    judged = judge_texts(texts)
-    verdict = judged.join(strict_prefixes(texts).distinct().withColumn("prefix", F.lit(True)), "h", "left").select("h", "ends", (F.col("certain") | F.coalesce(F.col("prefix"), F.lit(False))).alias("certain"))
+    texts = Stage(docs.sparkSession).put(d.filter(real).select("h", "core").groupBy("h").agg(F.min("core").alias("core")))
+    judged = cut_lineage(judge_texts(texts))
+    whole = texts.withColumn("one", F.lit(""))
+    asks = texts.join(judged.select("h"), "h", "left_semi").withColumn("one", F.lit(""))
+    longer = strict_prefixes(asks, whole, "one", "core").select(F.md5("core").alias("h"), F.lit(True).alias("prefix"))
+    sure = F.coalesce("prefix", F.lit(False))
+    verdict = judged.join(longer, "h", "left").select("h", (F.col("certain") | sure).alias("certain"), F.when(sure, F.lit("prefix")).otherwise(F.col("evidence")).alias("evidence"))
     # equal texts may be a third of all documents: they are dealt out over salts, the few verdicts repeated
     verdict = verdict.withColumn("salt", F.explode(F.array(*map(F.lit, range(salts)))))
-    broken = F.coalesce(F.substring(F.col("text"), F.length("core") + 1, F.lit(1 << 20)).contains("�"), F.lit(False))
-    flat = d.select("doc_id", "source", "h", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), (broken & real).alias("broken"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
-    rows = flat.join(verdict, ["h", "salt"], "left").select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "chars", "bytes", F.col("certain").isNotNull().alias("open"), (F.coalesce("certain", F.lit(False)) | F.col("broken")).alias("certain"))
-    rows = cut_lineage(rows)
+    broken = F.coalesce(F.substr(F.col("text"), F.length("core") + 1).contains("\ufffd"), F.lit(False)) & real
+    flat = d.select("doc_id", "source", "h", F.length("text").alias("chars"), F.octet_length("text").alias("bytes"), broken.alias("broken"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
+    rows = flat.join(verdict, ["h", "salt"], "left").select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "chars", "bytes", F.col("certain").isNotNull().alias("open"), (F.coalesce("certain", F.lit(False)) | F.col("broken")).alias("certain"), F.when(F.coalesce("certain", F.lit(False)), F.col("evidence")).when(F.col("broken"), F.lit("broken")).alias("evidence"))
+    rows = Stage(docs.sparkSession).put(rows)
     sure = rows.filter("certain").select("source", F.explode(F.array(F.struct(F.lit("c").alias("unit"), F.col("chars").alias("size")), F.struct(F.lit("b").alias("unit"), F.col("bytes").alias("size")))).alias("l"))
     sizes = sure.groupBy("source", "l.unit", "l.size").agg(F.count("*").alias("n"))
     total = sizes.groupBy("source", "unit").agg(F.sum("n").alias("all"))
@@ -355,6 +370,6 @@ def judge_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for unit, col in (("c", "chars"), ("b", "bytes")):
         lim = limits.filter(F.col("unit") == unit).select("source", F.col("size").alias(col), F.lit(True).alias(f"at_{unit}"))
         maybe = maybe.join(lim, ["source", col], "left")
-    maybe = maybe.select("doc_id", "source", (F.coalesce("at_c", F.lit(False)) | F.coalesce("at_b", F.lit(False))).alias("cut"))
-    out = rows.filter(~F.col("open") | F.col("certain")).select("doc_id", "source", F.col("certain").alias("cut")).unionByName(maybe)
-    return out.select("doc_id", F.nullif("source", F.lit("")).alias("source"), "cut")
+    maybe = maybe.withColumn("cut", F.coalesce("at_c", F.lit(False)) | F.coalesce("at_b", F.lit(False))).select("doc_id", "source", "cut", F.when(F.col("cut"), F.lit("limit")).alias("evidence"))
+    out = rows.filter(~F.col("open") | F.col("certain")).select("doc_id", "source", F.col("certain").alias("cut"), "evidence").unionByName(maybe)
+    return out.select("doc_id", F.nullif("source", F.lit("")).alias("source"), "cut", "evidence")

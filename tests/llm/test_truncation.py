@@ -10,16 +10,28 @@ from corpusweave.llm.truncation import _closed, judge_documents, strict_prefixes
 
 def test_prefixes_against_brute_force(spark):
     rng = random.Random(3)
-    texts = sorted({"".join(rng.choice("ab é") for _ in range(rng.randint(1, 9))) for _ in range(400)} | {"x" * 5000, "x" * 4999, "é", "é" * 3})
-    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "h string, core string")
-    want = {str(i) for i, t in enumerate(texts) if any(u != t and u.startswith(t) for u in texts)}
+    word = lambda: "".join(rng.choice("ab é") for _ in range(rng.randint(1, 9)))
+    values = [(rng.choice("pq"), word()) for _ in range(500)] + [("p", "x" * 5000), ("q", "x" * 5000), ("p", "é" * 3), (None, "a" * 20), ("p", None)]
+    asks = [(rng.choice("pqr"), word()) for _ in range(500)] + [("p", "x" * 4999), ("q", "x" * 5000), ("p", "é"), ("p", ""), (None, "a"), ("q", None)]
+    want = {(g, v) for g, v in asks if g and v is not None and any(h == g and u is not None and u != v and u.startswith(v) for h, u in values)}
+    a, b = spark.createDataFrame(asks, "g string, v string"), spark.createDataFrame(values, "g string, v string")
     for n in ("1", "4", "60"):
         old = spark.conf.get("spark.sql.shuffle.partitions")
         spark.conf.set("spark.sql.shuffle.partitions", n)
-        got = [r.h for r in strict_prefixes(df).collect()]
+        got = [tuple(r) for r in strict_prefixes(a, b, "g", "v").collect()]
         spark.conf.set("spark.sql.shuffle.partitions", old)
         assert set(got) == want and len(got) == len(want)
-    assert strict_prefixes(df.limit(0)).count() == 0
+    assert strict_prefixes(a.limit(0), b, "g", "v").count() == 0 and strict_prefixes(a, b.limit(0), "g", "v").count() == 0
+
+
+def test_long_words_and_long_rests(spark):
+    """Words above 64 letters are compared like others, and a rest of more than a million blanks is read to its end."""
+    long = "ha" * 60
+    rows = [(i, f"The crew stored {i} shells. Then they wrote {long} below the list of day {i}.") for i in range(40)]
+    rows += [(100, f"The crew stored 77 shells. Then they wrote {long[:90]}"), (101, f"The crew stored 9 shells. Then they wrote {long} below the list of d"), (102, "The crew stored 8 shells." + " " * 1_100_000 + "\ufffd")]
+    got = {r.doc_id: r for r in judge_documents(spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")).collect()}
+    assert (got[100].cut, got[100].evidence) == (True, "word") and (got[102].cut, got[102].evidence) == (True, "broken")
+    assert (got[101].cut, got[101].evidence) == (True, "prefix") and sum(r.cut for r in got.values()) == 3
 
 
 @pytest.mark.parametrize("text,closed", [("a b.", True), ('x="a"', True), ('x="', False), ("a (b)", True), ("a", False), ("好。", True), ("it's", False), ("dogs'", False), ("a\nb", False), ("a;", False)])
