@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusweave.llm.mixing import Mix
 from corpusweave.llm.percentiles import DIGITS, daily_counts, latest, percentiles
-from corpusweave.llm.proportions import TargetSample
+from corpusweave.llm.proportions import ROUNDS, TargetSample
 from corpusweave.llm.tokenizer import encode_corpus, token_counts
 from corpusweave.llm.truncation import judge_documents
 from corpusweave.llm.variety import varied_subset
@@ -68,28 +68,62 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def p2_sample(spark: SparkSession, sf: str) -> DataFrame:
-    """A fifth of the distinct samples for each field, drawn to the targets of the field."""
-    return _sample(spark, sf).sample().withColumnsRenamed({"id": "obs_name", "sample": "field_name"})
+    """A fifth of the distinct samples, drawn to the targets of all four fields together."""
+    out = _sample(spark, sf).sample().withColumnRenamed("id", "obs_name")
+    return out.withColumn("priority", F.round("priority", 6))
 
 
 @query
 def p2_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Available, wanted and drawn records of every target."""
-    return _sample(spark, sf).report().drop("sample")
-
-
-@query
-def p2_joint(spark: SparkSession, sf: str) -> DataFrame:
-    """One sample raked to all four fields, whose targets contradict each other in part: the report of its shares."""
-    return TargetSample(read_table(spark, sf, "subset_100k_index"), "obs_name", read_table(spark, sf, "subset_targets"), joint=True).report().drop("sample")
+    """Available, wanted and drawn records of every target, what is out of reach and what the sample misses."""
+    r = _sample(spark, sf).report()
+    return r.withColumn("drawn_permille", F.round("drawn_permille", 6)).withColumn("wanted", F.round("wanted", 6))
 
 
+_FIELDS = ("ma_bucket_detail", "overview_bucket", "rm_site", "stratum_id")
 _NA = "case when lower(trim(coalesce({0}, ''))) in ('', '-', 'nan', 'none', '<na>', 'na') then 'NA' else upper(trim({0})) end"
-_FIELDS = ("overview_bucket", "ma_bucket_detail", "rm_site", "stratum_id")
+_HAS_ID = "lower(trim(coalesce(obs_name, ''))) not in ('', '-', 'nan', 'none', '<na>', 'na')"
+
+
+def _sample_sql() -> str:
+    """The sample by sorting: ``s`` holds the drawn records, ``a`` the available ones, ``size`` the counts."""
+    c = [f"c{i}" for i in range(4)]
+    cells, both = ", ".join(c), " and ".join(f"r.{x} = d.{x}" for x in c)
+    return f"""with recursive
+e as ({" union ".join(f"select obs_name as id, '{f}' as field, {_NA.format(f)} as k from subset_100k_index where {_HAS_ID}" for f in _FIELDS)}),
+size as (select floor(count(distinct id) / 5) as n, count(distinct id) as total from e),
+tg as (select field_name as field, category, upper(trim(category)) as k, greatest(target_permille, 0) / 1000 as goal, target_permille, min_rows from subset_targets),
+v as (select id, md5('42|' || id) as h, e.field, e.k, min_rows from e join tg on e.field = tg.field and e.k = tg.k),
+a as (select field, k, count(*) as have from v group by 1, 2),
+o as (select *, row_number() over (partition by field, k order by h) as r from v),
+fl as (select id, bool_or(r <= min_rows) as floor, min(case when r <= min_rows then (r - 0.5) / min_rows end) as fp from o group by id),
+ids as (select e.id, md5('42|' || e.id) as h, {", ".join(f"coalesce(min(case when e.field = '{f}' and tg.k is not null then e.k end), '') as c{i}" for i, f in enumerate(_FIELDS))} from e left join tg on e.field = tg.field and e.k = tg.k group by e.id),
+d as (select ids.*, coalesce(floor, false) as floor, fp from ids left join fl using (id)),
+cell as (select {cells}, count(*) as cnt from d group by all),
+m as ({" union all ".join(f"select '{f}' as field, c{i} as k, sum(cnt) / n as most from cell, size group by c{i}, n" for i, f in enumerate(_FIELDS))}),
+x as (select tg.field, tg.k, goal, coalesce(most, 0) as most, sum(goal) over (partition by tg.field) as whole, coalesce(most, 0) / goal as ratio from tg left join m on m.field = tg.field and m.k = tg.k where goal > 0),
+y as (select *, (whole - coalesce(sum(most) over b, 0)) / (whole - coalesce(sum(goal) over b, 0)) * goal >= most as filled from x window b as (partition by field order by ratio, k rows between unbounded preceding and 1 preceding)),
+z as (select field, k, case when filled then most else goal * (whole - coalesce(sum(most) filter (filled) over f, 0)) / (whole - coalesce(sum(goal) filter (filled) over f, 0)) end as goal from y window f as (partition by field)),
+w as (select 0 as it, {", ".join(f"cell.{x}" for x in c)}, {", ".join(f"g{i}.goal as g{i}" for i in range(4))}, cnt / total as w, cnt / n as most from cell, size, {", ".join(f"z g{i}" for i in range(4))}
+ where {" and ".join(f"g{i}.field = '{f}' and g{i}.k = cell.c{i} and g{i}.goal > 0" for i, f in enumerate(_FIELDS))}
+ union all select it + 1, {cells}, g0, g1, g2, g3, least(w * pow({" * ".join(f"(g{i} / sum(w) over (partition by c{i}))" for i in range(4))}, 0.25), most), most from w where it < {ROUNDS}),
+r as (select {cells}, round(w, 12) as w from w where it = {ROUNDS}),
+p as (select d.*, (row_number() over (partition by {", ".join(f"d.{x}" for x in c)} order by floor desc, h) - 0.5) / nullif(r.w, 0) as priority from d left join r on {both}),
+q as (select p.*, row_number() over (order by floor desc, case when floor then fp else priority end, case when floor then '' else c0 end, case when floor then '' else c1 end, case when floor then '' else c2 end, case when floor then '' else c3 end, h) as place from p where floor or priority is not null),
+s as (select q.* from q, size where place <= n)"""
+
+
+_NAMED = ", ".join(f"coalesce((select category from tg where field = '{f}' and k = c{i}), '-') as {f}" for i, f in enumerate(_FIELDS))
+SQL["p2_sample"] = f"{_sample_sql()} select id as obs_name, {_NAMED}, floor, case when floor then 0 else round(priority, 6) end as priority from s"
+SQL["p2_report"] = (
+    f"{_sample_sql()}, g as ({' union all '.join(f"select '{f}' as field, c{i} as k, count(*) as drawn from s group by 2" for i, f in enumerate(_FIELDS))}), "
+    "t as (select tg.*, coalesce(have, 0) as available, target_permille * n / 1000 as wanted, coalesce(drawn, 0) as drawn, n from tg cross join size left join a on a.field = tg.field and a.k = tg.k left join g on g.field = tg.field and g.k = tg.k) "
+    "select field as field_name, category, target_permille, min_rows, available, round(wanted, 6) as wanted, available < wanted or available < min_rows as unmet, drawn, round(1000 * drawn / n, 6) as drawn_permille, drawn < greatest(least(floor(wanted), available), least(min_rows, available)) as missed from t"
+)
 SQL["p2_found"] = (
     "with v as ("
-    + " union ".join(f"select '{f}' as field_name, {_NA.format(f)} as k, obs_name from subset_100k_index where obs_name is not null" for f in _FIELDS)
-    + "), n as (select floor(count(distinct obs_name) / 5) as n from subset_100k_index), a as (select field_name, k, count(*) as have from v group by 1, 2) "
+    + " union ".join(f"select '{f}' as field_name, {_NA.format(f)} as k, obs_name from subset_100k_index where {_HAS_ID}" for f in _FIELDS)
+    + f"), n as (select floor(count(distinct obs_name) / 5) as n from subset_100k_index where {_HAS_ID}), a as (select field_name, k, count(*) as have from v group by 1, 2) "
     "select t.field_name, t.category from subset_targets t cross join n left join a on a.field_name = t.field_name and a.k = upper(trim(t.category)) "
     "where coalesce(have, 0) < target_permille * n / 1000 or coalesce(have, 0) < min_rows"
 )
