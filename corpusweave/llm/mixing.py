@@ -1,19 +1,24 @@
 """Mixing sources to target weights.
 
 Sizes are tokens. A source of own size s that shall give t tokens needs t / s copies of each document: the whole copies are
-certain, the rest is a sample without replacement by Pareto order sampling. Every document has the odds of a uniform number
-divided by the odds of its inclusion probability, and the smallest ratios are taken. The inclusion probability of a document
-is the fraction of its source that is still wanted, so probabilities differ between sources. The sample's size is fixed in
-tokens: documents are taken in that order up to the one whose middle still lies below the wanted sum, so a source misses
-its target by less than one document.
+certain, the rest is a sample without replacement by Pareto order sampling with unequal probabilities. A document of size x
+has the inclusion probability ``min(1, c * x ** power)``, where c is such that the expected size of the source's sample is
+what it still has to give. ``power`` 0 treats documents alike, 1 treats tokens alike; the default lies between, so that a
+source full of scraps is not represented by scraps. Every document gets the odds of a uniform number divided by the odds of
+its inclusion probability, documents are taken in that order, and the sample's size is fixed in tokens: the last document
+taken is the one whose middle still lies below the wanted sum, so a source misses its target by less than one document.
 
 A source whose documents, each repeated ``max_repeats`` times, fall short of its weight gives all it may, and what it lacks
 is given to the other sources in proportion to their weights, so that the mix is as large as all documents of the listed
 sources wherever that can be reached.
 
-The order is cut without sorting a source in one place: the numbers fall into ``bins`` equal slices, sums per source and
-slice (at most ``sources x bins`` rows, whatever the corpus) name the slice in which the cut lies, and only that slice is
-sorted. Defined cases: sources are compared trimmed and without case; documents of unlisted or missing sources take no
+Scale: the driver gets the number and tokens of the documents per source and size class (two leading digits), at most 90
+rows a decade for each of at most ``MAX_SOURCES`` sources. The order is cut without sorting a source in one place: the
+ratios fall into slices, whose number follows from the number of documents, token sums per source and slice name the slice
+in which the cut lies, and only that slice is sorted. Pareto ratios are spread evenly enough around the cut that a slice
+holds about ``slice_rows`` documents however large the source.
+
+Defined cases: sources are compared trimmed and without case; documents of unlisted or missing sources take no
 part; documents without tokens (NULL and empty texts) are never drawn; a listed source without documents gives nothing and
 is reported; a weight or cap that is NULL or negative counts as 0; a source listed twice takes its first row by weight.
 """
@@ -22,14 +27,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from corpusweave.functions.text import key_or_null
-from corpusweave.operators.ranking import uniform
 from corpusweave.llm.tokenizer import token_counts
-from corpusweave.session import cut_lineage
+from corpusweave.operators.ranking import uniform
+from corpusweave.session import Stage
 
 MAX_SOURCES = 10_000
 
@@ -53,11 +59,32 @@ def allot(weights: dict[str, float], sizes: dict[str, int], caps: dict[str, int]
     return got
 
 
+def scale(sizes: np.ndarray, tokens: np.ndarray, wanted: float, power: float) -> float:
+    """The factor c with ``sum(min(1, c * size ** power) * tokens) == wanted``, over size classes; infinite if all are needed."""
+    if wanted >= tokens.sum():
+        return math.inf
+    order = np.argsort(-sizes)  # the largest reach probability 1 first
+    x, t = sizes[order].astype(float) ** power, tokens[order].astype(float)
+    sure = np.append(0.0, np.cumsum(t))
+    rest = np.append(np.cumsum((x * t)[::-1])[::-1], 0.0)
+    for k in range(len(x)):  # the first k classes are certain
+        c = float(max(0.0, wanted - sure[k]) / rest[k])
+        if c * x[k] <= 1:
+            return c
+    return math.inf
+
+
+def size_class(tokens: Column) -> Column:
+    """The size with its two leading digits kept."""
+    step = F.pow(F.lit(10.0), F.greatest(F.length(tokens.cast("string")) - 2, F.lit(0))).cast("long")
+    return tokens - tokens % step
+
+
 class Mix:
     """The plan of a mix; ``documents`` and ``report`` give its parts."""
 
-    def __init__(self, docs: DataFrame, targets: DataFrame, path: str | None = None, seed: int = 42, bins: int = 1024):
-        self.spark, self.bins = docs.sparkSession, bins
+    def __init__(self, docs: DataFrame, targets: DataFrame, path: str | None = None, seed: int = 42, power: float = 0.5, slice_rows: int = 16_384):
+        self.spark, self.power = docs.sparkSession, power
         rows = targets.select("source", "target_weight", "max_repeats", key_or_null(F.col("source")).alias("k")).limit(MAX_SOURCES + 1).collect()
         if len(rows) > MAX_SOURCES:
             raise ValueError(f"more than {MAX_SOURCES} sources are listed")
@@ -69,55 +96,61 @@ class Mix:
         d = docs.select("doc_id", "text", key_or_null(F.col("source")).alias("k"))
         d = d.join(F.broadcast(listed), "k", "left_semi")  # at most MAX_SOURCES names
         sized = token_counts(d, "doc_id", "text", ("k",), path).filter(F.col("tokens") > 0)
-        self.sized = cut_lineage(sized.select(F.col("id").alias("doc_id"), F.col("k"), "tokens", uniform(seed, "id").alias("u")))
-        slices = self.sized.groupBy("k", F.floor(F.col("u") * bins).cast("int").alias("bin")).agg(F.sum("tokens").alias("t"), F.count("*").alias("n"))
-        self.slices = sorted(map(tuple, slices.collect()))  # at most sources x bins rows
-        self.sizes: dict[str, int] = dict.fromkeys(self.names, 0)
-        self.counts: dict[str, int] = dict.fromkeys(self.names, 0)
-        for k, _, t, n in self.slices:
-            self.sizes[k] += t
-            self.counts[k] += n
+        self.sized = Stage(self.spark).put(sized.select(F.col("id").alias("doc_id"), F.col("k"), F.col("tokens").cast("long").alias("tokens"), uniform(seed, "id").alias("u")))
+        classes = self.sized.groupBy("k", size_class(F.col("tokens")).alias("size")).agg(F.sum("tokens").alias("t"), F.count("*").alias("n"))
+        found: dict[str, list[tuple[int, int, int]]] = {}
+        for r in classes.collect():  # at most 90 rows a source and decade
+            found.setdefault(r["k"], []).append((r["size"], r["t"], r["n"]))
+        self.sizes = {k: sum(c[1] for c in found.get(k, ())) for k in self.names}
+        self.counts = {k: sum(c[2] for c in found.get(k, ())) for k in self.names}
         self.total = sum(self.sizes.values())
+        self.slices = max(64, math.ceil(sum(self.counts.values()) / slice_rows))
         self.wanted = allot(self.weights, self.sizes, self.caps)
-
-    def _cuts(self) -> DataFrame:
-        """Per source: certain copies, inclusion probability of the rest, slice of the cut and tokens wanted in it."""
-        out = []
+        plan = []
         for k, size in self.sizes.items():
-            if not size:
-                continue
-            whole = min(math.floor(self.wanted[k] / size + 1e-9), self.caps[k])
-            rest = max(0.0, self.wanted[k] - whole * size) if whole < self.caps[k] else 0.0
-            at, inside = -1, 0.0
-            for kk, b, t, _ in self.slices:
-                if kk == k and rest > 0:
-                    at, inside = b, rest
-                    if rest <= t:
-                        break
-                    rest -= t
-            out.append((k, whole, min(1.0, max(0.0, self.wanted[k] / size - whole)), at, inside))
-        return self.spark.createDataFrame(out, "k string, whole int, pi double, cut int, inside double")
+            if size:
+                whole = min(math.floor(self.wanted[k] / size + 1e-9), self.caps[k])
+                rest = max(0.0, self.wanted[k] - whole * size) if whole < self.caps[k] else 0.0
+                own = np.array(found[k], dtype=np.int64)
+                plan.append((k, self.names[k], whole, rest, scale(own[:, 0], own[:, 1], rest, power)))
+        self.plan = self.spark.createDataFrame(plan, "k string, source string, whole int, rest double, c double")  # one row per source
+
+    def ranked(self) -> DataFrame:
+        """``sized`` with ``whole, rest``, the inclusion probability ``pi`` and ``v`` in [0, 1], which grows with the ratio of odds."""
+        d = self.sized.join(F.broadcast(self.plan), "k")
+        d = d.withColumn("pi", F.least(F.lit(1.0), F.when(F.col("rest") > 0, F.col("c") * F.pow(size_class(F.col("tokens")).cast("double"), F.lit(self.power))).otherwise(F.lit(0.0))))
+        # q = (u / (1 - u)) / (pi / (1 - pi)); v = q / (1 + q)
+        a, b = F.col("u") * (1 - F.col("pi")), F.col("pi") * (1 - F.col("u"))
+        return d.withColumn("v", F.when(F.col("pi") <= 0, F.lit(1.0)).otherwise(a / (a + b)))
 
     def documents(self) -> DataFrame:
-        """``doc_id, source, tokens, copies`` of the documents drawn at least once."""
-        d = self.sized.join(F.broadcast(self._cuts()), "k").withColumn("bin", F.floor(F.col("u") * self.bins).cast("int"))
-        # the ratio of odds grows with u, and pi is the same for a source: the order of u is the Pareto order in a source
-        d = d.withColumn("odds", (F.col("u") / (1 - F.col("u"))) / F.when(F.col("pi") < 1, F.col("pi") / (1 - F.col("pi"))).otherwise(F.lit(1e300)))
-        edge = d.filter((F.col("bin") == F.col("cut")) & (F.col("pi") > 0))
-        upto = F.sum("tokens").over(W.partitionBy("k").orderBy("odds", "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow))
+        """``doc_id, source, tokens, copies, pi`` of the documents drawn at least once; ``pi`` is that of the copy that is not certain."""
+        d = self.ranked().withColumn("slice", F.least(F.floor(F.col("v") * self.slices), F.lit(self.slices - 1)).cast("int"))
+        sums = d.filter("rest > 0").groupBy("k", "slice", "rest").agg(F.sum("tokens").alias("t"))
+        sums = sums.withColumn("upto", F.sum("t").over(W.partitionBy("k").orderBy("slice")))
+        cut = sums.filter(F.col("upto") >= F.col("rest")).groupBy("k").agg(F.min(F.struct("slice", (F.col("rest") - (F.col("upto") - F.col("t"))).alias("inside"))).alias("x"))
+        cut = cut.select("k", F.col("x.slice").alias("cut"), F.col("x.inside").alias("inside"))  # one row per source
+        d = d.join(F.broadcast(cut), "k", "left")
+        edge = d.filter((F.col("slice") == F.col("cut")) & (F.col("rest") > 0))
+        upto = F.sum("tokens").over(W.partitionBy("k").orderBy("v", "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow))
         edge = edge.withColumn("more", (upto - F.col("tokens") / 2 <= F.col("inside")).cast("int"))
-        rest = d.filter((F.col("bin") != F.col("cut")) | (F.col("pi") <= 0)).withColumn("more", ((F.col("bin") < F.col("cut")) & (F.col("pi") > 0)).cast("int"))
+        # without a cut everything that is left is wanted
+        rest = d.filter(~((F.col("slice") == F.coalesce("cut", F.lit(-1))) & (F.col("rest") > 0))).withColumn("more", ((F.col("rest") > 0) & F.coalesce(F.col("slice") < F.col("cut"), F.lit(True))).cast("int"))
         both = edge.unionByName(rest).withColumn("copies", F.col("whole") + F.col("more")).filter(F.col("copies") > 0)
-        names = self.spark.createDataFrame(list(self.names.items()), "k string, source string")
-        return both.join(F.broadcast(names), "k").select("doc_id", "source", "tokens", "copies")
+        return both.select("doc_id", "source", "tokens", "copies", "pi")
 
     def report(self) -> DataFrame:
-        """Per listed source: target and reached share, sizes, copies, and whether the target is out of reach."""
-        got = {r["source"]: r for r in self.documents().groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("t"), F.sum("copies").alias("c"), F.max("copies").alias("m")).collect()}
+        """Per listed source: target and reached share, sizes, copies, and whether the target is out of reach.
+
+        All but the targets and own sizes is counted from the drawn mix. A source is out of reach if the mix has all of its
+        documents as often as it may, and that is less than its weight of the whole.
+        """
+        got = {r["source"]: r for r in self.documents().groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("t"), F.sum("copies").alias("c"), F.max("copies").alias("m")).collect()}  # one row per source
         size = sum(r["t"] for r in got.values()) or 1
         rows = []
         for k, s in self.names.items():
             r = got.get(s)
-            short = self.sizes[k] * self.caps[k] < self.weights[k] * self.total
-            rows.append((s, self.weights[k], self.caps[k], self.counts[k], self.sizes[k], int(r["t"]) if r else 0, int(r["c"]) if r else 0, int(r["m"]) if r else 0, (r["t"] if r else 0) / size, short))
+            t, c, m = (int(r["t"]), int(r["c"]), int(r["m"])) if r else (0, 0, 0)
+            short = c == self.counts[k] * self.caps[k] and t < self.weights[k] * self.total
+            rows.append((s, self.weights[k], self.caps[k], self.counts[k], self.sizes[k], t, c, m, t / size, short))
         return self.spark.createDataFrame(rows, "source string, target_weight double, max_repeats int, n_docs long, own_tokens long, mix_tokens long, mix_docs long, most_copies int, reached_share double, out_of_reach boolean")

@@ -1,10 +1,14 @@
 """The mix: shares, caps, fixed size, and the cases without documents."""
 
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusweave.llm.mixing import Mix, allot
+from corpusweave.llm.mixing import Mix, allot, scale
 from corpusweave.llm.plans import p8_found, p8_mix
+from corpusweave.operators.ranking import uniform
 
 
 def test_allot():
@@ -34,14 +38,35 @@ def test_small_mix(spark):
     assert Mix(docs, targets.limit(0)).documents().count() == 0
 
 
-@pytest.mark.parametrize("bins", [1, 3, 1024])
-def test_size_for_any_number_of_slices(spark, bins):
+@pytest.mark.parametrize("rows,power", [(1, 0.0), (7, 0.5), (16_384, 1.0)])
+def test_size_for_any_number_of_slices(spark, rows, power):
     docs = spark.createDataFrame([(i, "w " * (1 + (i * 37) % 50), "ab"[i % 3 == 0]) for i in range(500)], "doc_id long, text string, source string")
-    m = Mix(docs, spark.createDataFrame([("a", 0.9, 5), ("b", 0.1, 5)], "source string, target_weight double, max_repeats int"), bins=bins)
+    m = Mix(docs, spark.createDataFrame([("a", 0.9, 5), ("b", 0.1, 5)], "source string, target_weight double, max_repeats int"), power=power, slice_rows=rows)
     for r in m.report().collect():
         assert abs(r.mix_tokens - r.target_weight * m.total) <= 51
 
 
+def test_scale():
+    sizes, tokens = np.array([1, 10, 100]), np.array([50, 50, 100])
+    for power in (0.0, 0.5, 1.0):
+        for wanted in (1.0, 60.0, 120.0, 199.0):
+            assert (np.minimum(1, scale(sizes, tokens, wanted, power) * sizes**power) * tokens).sum() == pytest.approx(wanted)
+    assert scale(sizes, tokens, 200.0, 0.5) == math.inf and scale(sizes, tokens, 0.0, 0.5) == 0.0
+
+
+def test_inclusion_frequencies(spark):
+    """Over many seeds every document comes as often as its inclusion probability says, larger ones more often."""
+    docs = spark.createDataFrame([(i + 1000 * (k == "b"), "w " * [2, 8, 30, 90][i % 4], k) for i in range(80) for k in "ab"], "doc_id long, text string, source string")
+    m = Mix(docs, spark.createDataFrame([("a", 0.2, 1), ("b", 0.8, 5)], "source string, target_weight double, max_repeats int"))
+    seeds = 60
+    m.sized = m.sized.crossJoin(spark.range(seeds).withColumnRenamed("id", "seed")).withColumn("u", uniform(7, "doc_id", "seed")).withColumn("k", F.concat("k", F.lit("#"), "seed")).drop("seed")  # a small fixture
+    m.plan = m.plan.crossJoin(spark.range(seeds)).withColumn("k", F.concat("k", F.lit("#"), "id")).drop("id")
+    got = m.documents().filter("source = 'a'").groupBy((F.col("doc_id") % 4).alias("size")).agg(F.count("*").alias("n"), F.avg("pi").alias("pi")).orderBy("size").collect()
+    for r in got:
+        assert abs(r.n / (20 * seeds) - r.pi) < 0.05, r
+    assert [r.pi for r in got] == sorted(r.pi for r in got) and got[0].pi < 0.5 * got[3].pi
+
+
 def test_whole_table(spark, sf):
     mix = p8_mix(spark, sf)
     caps = {r.source: r.max_repeats for r in spark.read.parquet(f"{sf}/mix_targets.parquet").collect()}
