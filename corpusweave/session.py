@@ -21,6 +21,7 @@ def build_session(app: str = "corpusweave", cores: int | str = "*", shuffle_part
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
@@ -38,33 +39,59 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints and intermediate tables, which all executors share."""
+    """The folder for checkpoints and intermediate tables, which all executors share.
+
+    Off a single machine it must be named by ``spark.checkpoint.dir``: a temporary folder there would be another one on
+    every executor.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusweave_ckpt_"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="corpusweave_ckpt_"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 class Stage:
-    """The state of an iteration as a table in the shared folder, replaced at every pass.
+    """An intermediate result, or the state of an iteration, as a parquet table in the shared folder.
 
-    A checkpoint carries the size estimate of the plan before it; over many passes these estimates multiply without limit.
-    A written table is estimated by its files. ``put`` drops the table before the last, which nothing reads any more.
+    A checkpoint keeps whole rows and carries the size estimate of the plan before it; over many passes these estimates
+    multiply without limit. A written table is estimated by its files, and what reads it reads the columns it needs.
+    ``put`` drops the table before the last, which nothing reads any more; ``release`` drops the rest.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.kept = spark, f"{shared_folder(spark)}/stage_{uuid.uuid4().hex}", []
 
-    def put(self, df: DataFrame) -> DataFrame:
+    def put(self, df: DataFrame, *folders: str) -> DataFrame:
+        """The written table; ``folders`` are columns by whose values it is laid out."""
         path = f"{self.root}_{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        (df.write.partitionBy(*folders) if folders else df.write).parquet(path)
         self.kept.append(path)
+        all_ = _WRITTEN.setdefault(self.spark.sparkContext.applicationId, [])
+        all_.append(path)
         while len(self.kept) > 2:
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(self.kept.pop(0))
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            old = self.kept.pop(0)
+            all_.remove(old)
+            _delete(self.spark, old)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Deletes the intermediate tables of this application; to be called when its results have been consumed."""
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
+
+
 _SHIPPED: set[str] = set()
 
 
