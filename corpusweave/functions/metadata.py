@@ -120,7 +120,7 @@ def age_group(start: Column, end: Column) -> Column:
     e = F.when((start >= 0) & (end <= 3), F.lit("0-3"))
     for label, above, most in AGE_BINS:
         e = e.when((start > above) & (end <= most), F.lit(label))
-    return e.when(start > 75, F.lit("75+"))
+    return F.when(end.isNotNull(), e.when(start > 75, F.lit("75+")))
 
 
 def case_or_control(phenotype: Column) -> Column:

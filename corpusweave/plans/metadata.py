@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from corpusweave.functions import metadata as D
 from corpusweave.operators import merge as M
+from corpusweave.operators import standardise as S
 from corpusweave.operators.expect import unknown_tokens, violations
-from corpusweave.session import read_table
+from corpusweave.session import Stage, read_table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -104,10 +105,10 @@ def meta_run_biosample(spark, sf):
     return _env(spark, sf).select(c.alias("sample_id"), D.split_once(c, ".", 0).alias("run"), D.split_once(c, ".", 1).alias("biosample"), D.blank_to_null(F.col("_col6")).alias("extra"))
 
 
-_AGE = "case when s >= 0 and e <= 3 then '0-3' " + " ".join(f"when s > {a} and e <= {b} then '{n}'" for n, a, b in D.AGE_BINS) + " when s > 75 then '75+' end"
+_AGE = "case when s >= 0 and e <= 3 then '0-3' " + " ".join(f"when s > {a} and e <= {b} then '{n}'" for n, a, b in D.AGE_BINS) + " when s > 75 and e is not null then '75+' end"
 
 
-@query(f"select obs_name, RM_Age_start as s, RM_Age_end as e, {_AGE.replace('s >', 'RM_Age_start >').replace('e <=', 'RM_Age_end <=')} as age_group from merged_gg2_with_phylo where obs_name like 'RM%'")
+@query(f"select obs_name, RM_Age_start as s, RM_Age_end as e, {_AGE.replace('s >', 'RM_Age_start >').replace('e <=', 'RM_Age_end <=').replace('e is not', 'RM_Age_end is not')} as age_group from merged_gg2_with_phylo where obs_name like 'RM%'")
 def meta_age_groups(spark, sf):
     """Age bins of interval ages."""
     r = _merged(spark, sf).filter(F.col("obs_name").startswith("RM"))
@@ -173,6 +174,73 @@ def meta_invariants(spark, sf):
     return violations(_merged(spark, sf).filter(F.col("obs_name").startswith("RM")), {k: F.expr(r) for k, r in _RULES.items()})
 
 
+_RAW = {"Sample_Site": "RM_Sample_Site", "Sample_Type": "RM_Sample_Type"} | {c: f"RM_{c}" for c in S.COLUMNS if c not in ("Run", "Project_ID", "BioSample", "Sequencing_Type", "Smoking", "Sex", "Latitude", "Longitude", *S.DERIVED)}
+
+
+def _standard(spark, sf):
+    """The standard form of the RM samples; of repeated rows the least value of each column counts."""
+    m = _merged(spark, sf).filter(F.col("obs_name").startswith("RM"))
+    cols = [_RAW.get(c, c) for c in S.COLUMNS if c not in S.DERIVED]
+    one = m.groupBy("obs_name").agg(*(F.min(c).alias(c) for c in cols))
+    regions = m.filter("trim(Sequencing_Type) = '16S'").groupBy(F.regexp_replace("Project_ID", r"^\s+|\s+$", "").alias("Project_ID")).agg(F.min("RM_Region_16S").alias("region"))
+    return S.standardise(one, regions, S.Standard({raw: c for c, raw in _RAW.items()}))
+
+
+_TRIM = lambda c: f"nullif(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'), '')"
+_FIX = {c: f"case {{0}} {' '.join(f"when '{a}' then nullif('{b}', '')" for a, b in f.items())} else {{0}} end" for c, f in S.FIXES.items()}
+
+
+def _standard_sql() -> str:
+    raw = {c: _RAW.get(c, c) for c in S.COLUMNS if c not in S.DERIVED}
+    least = ", ".join(f"min({r}) as {r}" for r in raw.values())
+    cols = ", ".join((f"{r} as {c}" if c in S.FLOATS else _FIX.get(c, "{0}").format(_TRIM(r)) + f" as {c}") for c, r in raw.items())
+    age = "case when Age_start >= 0 and Age_end <= 3 then '0-3' " + " ".join(f"when Age_start > {a} and Age_end <= {b} then '{n}'" for n, a, b in D.AGE_BINS) + " when Age_start > 75 and Age_end is not null then '75+' end"
+    return f"""std as (select {", ".join(S.COLUMNS)} from (select x.*, {age} as Age_Group, case when Sequencing_Type = '16S' then nullif(coalesce(region, '-'), '-') end as Region_16S,
+ case when Phenotype in ('Control', 'Health') then 'control' when Phenotype is not null then 'case' end as Case_Or_Control, case when Phenotype = 'Health' then true when Phenotype = 'Control' then null when Phenotype is not null then false end as Is_Healthy
+ from (select {cols} from (select obs_name, {least} from merged_gg2_with_phylo where obs_name like 'RM%' group by 1)) x
+ left join (select regexp_replace(Project_ID, '^\\s+|\\s+$', '', 'g') as p, min(RM_Region_16S) as region from merged_gg2_with_phylo where obs_name like 'RM%' and trim(Sequencing_Type) = '16S' group by 1) r on x.Project_ID = r.p))"""
+
+
+@query(f"with {_standard_sql()} select * from std")
+def meta_standard_form(spark, sf):
+    """All 36 columns of the standard form, derived ones included."""
+    return _standard(spark, sf)
+
+
+_AS_SQL = {
+    "age is its interval": "Age is null or coalesce(Age = Age_start and Age = Age_end, false)",
+    "age interval in order": "Age is not null or Age_start is null or coalesce(Age_start <= Age_end, false)",
+    "bmi is its interval": "BMI is null or coalesce(BMI = BMI_start and BMI = BMI_end, false)",
+    "bmi interval in order": "BMI is not null or BMI_start is null or coalesce(BMI_start <= BMI_end, false)",
+    "country with continent": "(Country is null) = (Continent is null)",
+    "location with country": "Location is null or Country is not null",
+    "region with its type": "Region_16S is null or coalesce(Sequencing_Type = '16S', false)",
+    "healthy where health": "coalesce(Is_Healthy, false) = coalesce(Phenotype = 'Health', false)",
+} | {f"{n} known": f"{c} is null or {c} in ({', '.join(f"'{v}'" for v in d)})" for n, c, d in [("region", "Region_16S", S.REGIONS), ("age group", "Age_Group", S.AGE_GROUPS), ("case or control", "Case_Or_Control", ("case", "control")), *((c, c, d) for c, d in S.DOMAINS.items())]}
+
+
+@query(f"with {_standard_sql()} select 'run unique' as rule, count(*) as broken from (select Run from std group by 1 having count(*) > 1 or Run is null) " + " ".join(f"union all select '{k}', count(*) filter (where not ({r})) from std" for k, r in _AS_SQL.items()) + " union all select 'types', 0 union all select 'column order', 0")
+def meta_standard_invariants(spark, sf):
+    """Every invariant of the standard form and the rows that break it."""
+    return S.invariants(_standard(spark, sf))
+
+
+#: Which rows a patch takes, and what it sets.
+_PATCHES = {
+    "site": ("Sample_Site = 'Nasal' and Phenotype is null", {"Sample_Site": "'Nasopharynx'"}),
+    "phenotype": ("Phenotype = 'Pneumonia'", {"Phenotype": "'Viral Pneumonia'", "Phenotype_ID": "'P0108'"}),
+    "controls": ("Phenotype = 'Control'", {"Phenotype": "'Health'", "Phenotype_ID": "'P0000'", "Case_Or_Control": "'control'", "Is_Healthy": "true"}),
+    "asthma": ("Phenotype = 'Asthma'", {"Phenotype": "'Asthma'", "Phenotype_ID": "'P0341'", "Case_Or_Control": "'case'", "Is_Healthy": "cast(null as boolean)"}),
+}
+
+
+@query(f"with {_standard_sql()} " + " union all ".join(f"select '{n}' as patch, '{c}' as column_name, count(*) as touched, count(*) filter (where {c} is distinct from {v}) as changed from std where {w}" for n, (w, sets) in _PATCHES.items() for c, v in sets.items()))
+def patch_pipeline(spark, sf):
+    """Four patches over the standard form, checked to be apart, to leave other rows alone and to change nothing twice."""
+    base = Stage(spark).put(_standard(spark, sf))
+    return S.apply_patches(base, {n: base.filter(w).select("Run", *(F.expr(v).alias(c) for c, v in sets.items())) for n, (w, sets) in _PATCHES.items()}, "Run")[1]
+
+
 _PATCH = "select c_custkey, 'PATCHED' as c_mktsegment, case when c_acctbal < 0 then null else c_acctbal + 1 end as c_acctbal from customer where c_mktsegment = 'BUILDING'"
 
 
