@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from corpusweave.operators.skew import add_quantiles
+from corpusweave.session import Stage
+
 
 def facts(df: DataFrame, sample: str, feature: str, n: str) -> DataFrame:
     """Summed counts; zeros and missing counts are no facts. Sums are bigint, so an overflow cannot pass unseen."""
@@ -73,10 +76,12 @@ def loss(before: DataFrame, after: DataFrame) -> DataFrame:
 def loss_summary(per_sample: DataFrame) -> DataFrame:
     """Totals, percent lost, quantiles of the samples' losses, and how many lost more than half."""
     qs = (0.5, 0.75, 0.9, 0.95, 0.99)
-    return per_sample.agg(
+    p = Stage(per_sample.sparkSession).put(per_sample.select("reads_in", "reads_out", "lost"))
+    stats = p.agg(
         F.sum("reads_in").alias("reads_in"), F.sum("reads_out").alias("reads_out"), (100 * (F.sum("reads_in") - F.sum("reads_out")) / F.nullif(F.sum("reads_in"), F.lit(0))).alias("lost_percent"),
-        *(F.percentile("lost", F.lit(q)).alias(f"q{round(q * 100)}") for q in qs), F.max("lost").alias("worst"), F.count_if(F.col("lost") > 0.5).alias("over_half"),
+        F.max("lost").alias("worst"), F.count_if(F.col("lost") > 0.5).alias("over_half"),
     )
+    return add_quantiles(stats, p, {f"q{round(q * 100)}": ("lost", q) for q in qs})
 
 
 def first_rows(df: DataFrame, key: str, *order: str) -> DataFrame:

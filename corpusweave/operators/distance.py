@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from corpusweave.operators.merge import number_rows
+from corpusweave.operators.skew import add_quantiles
 from corpusweave.operators.tree import clean, closure
+from corpusweave.session import Stage
 
 
 def pair_sums(v: DataFrame, hot_rows: int = 4096) -> DataFrame:
-    """``i, j, s`` (``i < j``) from ``sample, feature, v, w``: sums of ``w * min(v_i, v_j)``.
+    """``i, j, s`` (``i < j``) from ``sample, feature, v, w``: sums of ``w * min(v_i, v_j)``, by a join on the feature.
 
-    A feature that more than ``hot_rows`` samples share is dealt out over salts: one side split, the other repeated.
-    The salts come from a window over the feature's own count, which is summed before the shuffle.
+    For features that few samples share. A feature that more than ``hot_rows`` samples share is dealt out over salts: one
+    side split, the other repeated. The salts come from a window over the feature's own count, which is summed before the shuffle.
     """
     n = v.groupBy("feature").agg(F.count("*").alias("k")).filter(F.col("k") > hot_rows).select("feature", F.ceil(F.col("k") / hot_rows).cast("int").alias("salts"))
     s = v.join(n, "feature", "left")
@@ -46,26 +48,12 @@ def block_sums(v: DataFrame, block: int = 512) -> DataFrame:
     b = r.select("*", F.explode(F.sequence(F.lit(0), "own")).alias("x"), F.col("own").alias("y"))
     a, b = (d.select(*(F.col(c).alias(c) for c in ("f", "sample", "v", "w", "t", "x", "y"))) for d in (a, b))
 
-    def side(d: pd.DataFrame) -> tuple:
-        d = d.sort_values("f", kind="stable")
-        names, at = np.unique(d["sample"].to_numpy(), return_inverse=True)
-        total = np.zeros(len(names))
-        total[at] = d["t"]
-        f, first = np.unique(d["f"].to_numpy(), return_index=True)
-        return names, at, total, d["v"].to_numpy(), d["w"].to_numpy(), f, np.append(first, len(d))
-
     def sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             none = (left if len(left) else right).iloc[:0]
             return pd.DataFrame({"i": none["sample"], "j": none["sample"], "s": none["v"], "t": none["t"]})
-        ni, ai, ti, vi, wi, fi, ei = side(left)
-        nj, aj, tj, vj, _, fj, ej = side(right)
-        s, common = np.zeros((len(ni), len(nj))), np.zeros((len(ni), len(nj)), dtype=bool)
-        for p, q in zip(*np.intersect1d(fi, fj, assume_unique=True, return_indices=True)[1:], strict=True):
-            m, o = slice(ei[p], ei[p + 1]), slice(ej[q], ej[q + 1])
-            at = ai[m][:, None], aj[o][None]
-            s[at] += wi[ei[p]] * np.minimum(vi[m][:, None], vj[o][None])
-            common[at] = True
+        (ni, ti, *a), (nj, tj, *b) = _side(left), _side(right)
+        s, common = block_minima(len(ni), a, len(nj), b)
         if left["x"].iloc[0] == left["y"].iloc[0]:
             common = np.triu(common, 1)  # names are sorted
         p, q = np.nonzero(common)
@@ -76,6 +64,60 @@ def block_sums(v: DataFrame, block: int = 512) -> DataFrame:
     return a.groupBy("x", "y").cogroup(b.groupBy("x", "y")).applyInPandas(sums, f"i {kind}, j {kind}, s double, t double")
 
 
+def _side(d: pd.DataFrame) -> tuple:
+    d = d.sort_values("f", kind="stable")
+    names, at = np.unique(d["sample"].to_numpy(), return_inverse=True)
+    total = np.zeros(len(names))
+    total[at] = d["t"]
+    f, first = np.unique(d["f"].to_numpy(), return_index=True)
+    return names, total, at, d["v"].to_numpy(), d["w"].to_numpy(), f, np.append(first, len(d))
+
+
+def block_minima(n: int, left: list, m: int, right: list) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of weighted minima of ``n`` by ``m`` samples, and which pairs have a feature in common.
+
+    A feature that many samples of both sides have is a whole column on each side, so its minima are one plain matrix
+    operation; only features of few samples pay for looking up where they belong.
+    """
+    ai, vi, wi, fi, ei = left
+    aj, vj, _, fj, ej = right
+    s, common, buffer = np.zeros((n, m)), np.zeros((n, m), dtype=bool), np.empty((n, m))
+    x, y = np.zeros(n), np.zeros(m)
+    for p, q in zip(*np.intersect1d(fi, fj, assume_unique=True, return_indices=True)[1:], strict=True):
+        k, o = slice(ei[p], ei[p + 1]), slice(ej[q], ej[q + 1])
+        rows, cols = ai[k], aj[o]
+        if len(rows) * len(cols) * 4 > n * m:
+            x[:], y[:] = 0.0, 0.0
+            x[rows], y[cols] = wi[ei[p]] * vi[k], wi[ei[p]] * vj[o]
+            np.minimum(x[:, None], y[None], out=buffer)
+            s += buffer
+            if len(rows) * len(cols) == n * m:
+                common[:] = True
+            else:
+                common[np.ix_(rows, cols)] = True
+        else:
+            at = np.ix_(rows, cols)
+            s[at] += wi[ei[p]] * np.minimum(vi[k][:, None], vj[o][None])
+            common[at] = True
+    return s, common
+
+
+def sums_of_minima(v: DataFrame, block: int = 512, pair_cost: float = 4.0) -> DataFrame:
+    """``i, j, s`` by the cheaper of the two kernels, from counts of the table itself.
+
+    The join emits a row for every feature and pair of samples that share it, ``sum(k * (k - 1) / 2)`` rows; the blocks send
+    every row to as many tasks as there are blocks and compare whole blocks, which costs no shuffle of pairs. ``pair_cost``
+    is what a joined row costs against a sent one.
+    """
+    v = Stage(v.sparkSession).put(v)
+    per = v.groupBy("feature").agg(F.count("*").alias("k"))
+    joined, rows = per.agg(F.coalesce(F.sum(F.col("k") * (F.col("k") - 1) / 2), F.lit(0.0)), F.coalesce(F.sum("k"), F.lit(0))).head()
+    blocks = v.select("sample").distinct().count() / block + 1
+    if joined * pair_cost <= rows * blocks:
+        return pair_sums(v)
+    return block_sums(v.withColumn("t", F.lit(0.0)), block).select("i", "j", "s")
+
+
 def all_pairs(samples: DataFrame, common: DataFrame) -> DataFrame:
     """Every pair of a sampled set, with ``s`` 0 where nothing is in common. Meant for a sample of stated size."""
     a, b = samples.select(F.col("sample").alias("i")), samples.select(F.col("sample").alias("j"))
@@ -84,7 +126,7 @@ def all_pairs(samples: DataFrame, common: DataFrame) -> DataFrame:
 
 def bray_curtis(shares: DataFrame, every_pair: bool = False) -> DataFrame:
     """``i, j, dist`` from ``sample, feature, share``; without ``every_pair`` only pairs with a common feature."""
-    s = pair_sums(shares.select("sample", "feature", F.col("share").alias("v"), F.lit(1.0).alias("w")))
+    s = sums_of_minima(shares.select("sample", "feature", F.col("share").alias("v"), F.lit(1.0).alias("w")))
     if every_pair:
         s = all_pairs(shares.select("sample").distinct(), s)
     return s.select("i", "j", (1 - F.col("s")).alias("dist"))
@@ -113,20 +155,20 @@ def euclidean(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, x: s + x))
 
 
-def audit(pairs: DataFrame) -> DataFrame:
-    """Range, middle and faults of distances."""
-    d = F.col("dist")
-    return pairs.agg(F.count("*").alias("pairs"), F.min(d).alias("least"), F.median(d).alias("mid"), F.max(d).alias("most"), F.count_if(F.isnan(d) | d.isNull()).alias("unknown"), F.count_if((d < -1e-3) | (d > 1.001)).alias("out_of_range"))
-
-
-def audit_all(pairs: DataFrame, samples: DataFrame) -> DataFrame:
-    """The same over all pairs of ``samples``; pairs that are not listed have distance 1 and come in as one row with their number."""
-    d = F.col("dist")
-    n = samples.select("sample").distinct().agg((F.count("*") * (F.count("*") - 1) / 2).cast("long").alias("all"))
-    rest = n.crossJoin(pairs.agg(F.count("*").alias("listed"))).select(F.lit(1.0).alias("dist"), (F.col("all") - F.col("listed")).alias("k")).filter("k > 0")
-    p = pairs.select(d.cast("double").alias("dist"), F.lit(1).cast("long").alias("k")).unionByName(rest)
+def audit(pairs: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """Range, middle and faults of distances. With ``samples``, over all their pairs: those that are not listed have
+    distance 1 and come in as one row with their number."""
+    d = F.col("dist").cast("double")
+    p = pairs.select(d.alias("dist"), F.lit(1).cast("long").alias("k"))
+    stage = Stage(pairs.sparkSession)
+    p = stage.put(p)
+    if samples is not None:
+        n = samples.select("sample").distinct().agg((F.count("*") * (F.count("*") - 1) / 2).cast("long").alias("all"))
+        rest = n.crossJoin(p.agg(F.count("*").alias("listed"))).select(F.lit(1.0).alias("dist"), (F.col("all") - F.col("listed")).alias("k")).filter("k > 0")  # one row by one row
+        p = p.unionByName(rest)
     times = lambda c: F.coalesce(F.sum(F.when(c, F.col("k"))), F.lit(0)).cast("long")
-    return p.agg(F.coalesce(F.sum("k"), F.lit(0)).cast("long").alias("pairs"), F.min(d).alias("least"), F.percentile(d, F.lit(0.5), F.col("k")).alias("mid"), F.max(d).alias("most"), times(F.isnan(d) | d.isNull()).alias("unknown"), times((d < -1e-3) | (d > 1.001)).alias("out_of_range"))
+    stats = p.agg(F.coalesce(F.sum("k"), F.lit(0)).cast("long").alias("pairs"), F.min("dist").alias("least"), F.max("dist").alias("most"), times(F.isnan("dist") | F.col("dist").isNull()).alias("unknown"), times((F.col("dist") < -1e-3) | (F.col("dist") > 1.001)).alias("out_of_range"))
+    return add_quantiles(stats, p, {"mid": ("dist", 0.5)}, weight="k")
 
 
 def compare(pairs: DataFrame, truth: DataFrame, tolerance: float = 1e-3) -> DataFrame:
@@ -137,8 +179,9 @@ def compare(pairs: DataFrame, truth: DataFrame, tolerance: float = 1e-3) -> Data
 
 def by_bucket(pairs: DataFrame, bucket: str, value: str) -> DataFrame:
     """Mean and median of one distance per value of another, and whether the mean rises."""
-    g = pairs.groupBy(bucket).agg(F.count("*").alias("pairs"), F.avg(value).alias("mean"), F.median(value).alias("mid"))
-    return g.withColumn("rises", F.coalesce(F.col("mean") >= F.lag("mean").over(W.orderBy(bucket)), F.lit(True)))
+    p = Stage(pairs.sparkSession).put(pairs.select(bucket, value))
+    g = add_quantiles(p.groupBy(bucket).agg(F.count("*").alias("pairs"), F.avg(value).alias("mean")), p, {"mid": (value, 0.5)}, [bucket])
+    return g.withColumn("rises", F.coalesce(F.col("mean") >= F.lag("mean").over(W.orderBy(bucket)), F.lit(True)))  # one row per bucket
 
 
 def agreement(pairs: DataFrame, got: str, wanted: str) -> DataFrame:

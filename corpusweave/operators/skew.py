@@ -17,7 +17,7 @@ with no value it is NULL. Keys are compared trimmed and without case. Empty inpu
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ from corpusweave.functions.text import is_missing, key_or_null
 from corpusweave.session import Stage, cut_lineage
 
 _KEY = ("field", "key", "metric")
+_ROWS = "__rows"
 
 
 def entity_rows(df: DataFrame, entity: str, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
@@ -42,10 +43,15 @@ def entity_rows(df: DataFrame, entity: str, keys: Sequence[str], metrics: Sequen
     return one.filter(F.col("k.key").isNotNull()).groupBy("entity", F.col("k.field").alias("field"), F.col("k.key").alias("key")).agg(F.count("*").alias("n_rows"), *(F.max(f"m{i}").alias(f"m{i}") for i in range(len(metrics))))
 
 
-def exact_quantiles(values: DataFrame, probs: Sequence[float], bins: int = 512, hot_share: float = 0.001, max_passes: int = 400) -> DataFrame:
-    """``field, key, metric, n, prob, value`` from ``field, key, metric, v``; see the module's text for the method."""
-    reduced = values.filter(F.col("v").isNotNull()).withColumn("v", F.col("v") + F.lit(0.0)).groupBy(*_KEY, "v").agg(F.count("*").alias("n"))
-    reduced = cut_lineage(reduced)
+def exact_quantiles(values: DataFrame, probs: Sequence[float], bins: int = 512, hot_share: float = 0.001, interpolate: bool = False, weight: str | None = None) -> DataFrame:
+    """``field, key, metric, n, prob, value`` from ``field, key, metric, v``; see the module's text for the method.
+
+    A row counts as often as ``weight`` says. With ``interpolate`` a quantile lies between the two values around position
+    ``p * (n - 1)``, as medians of even numbers do; otherwise it is a value of the data.
+    """
+    finite = F.abs(F.col("v")) < float("inf")  # false for NaN
+    reduced = values.filter(finite).withColumn("v", F.col("v") + F.lit(0.0)).groupBy(*_KEY, "v").agg((F.sum(F.col(weight).cast("long")) if weight else F.count("*")).alias("n"))
+    reduced = Stage(values.sparkSession).put(reduced.filter("n > 0"))
     root = cut_lineage(reduced.groupBy(*_KEY).agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("distinct")))
     # hot by the reduced rows, which are what a task would have to read
     rows = root.agg(F.sum("distinct")).head()[0] or 0
@@ -55,10 +61,14 @@ def exact_quantiles(values: DataFrame, probs: Sequence[float], bins: int = 512,
 
     prob = F.explode(F.array(*map(F.lit, probs)))
     state = root.select(*_KEY, "n", prob.alias("prob"), "lo", "hi", F.lit(0).cast("long").alias("below"))
-    state = state.withColumn("rank", F.least(F.col("n"), F.greatest(F.lit(1), F.ceil(F.round(F.col("prob") * F.col("n"), 9)))).cast("long"))
+    if interpolate:
+        at = F.round(F.col("prob") * (F.col("n") - 1), 9)
+        state = state.withColumn("rank", F.explode(F.array_distinct(F.array((F.floor(at) + 1).cast("long"), (F.ceil(at) + 1).cast("long")))))
+    else:
+        state = state.withColumn("rank", F.least(F.col("n"), F.greatest(F.lit(1), F.ceil(F.round(F.col("prob") * F.col("n"), 9)))).cast("long"))
     stage = Stage(values.sparkSession)
     state = stage.put(state.join(hot, [*_KEY], "left"))
-    for _ in range(max_passes):
+    while True:  # every pass parts the least value of an interval from the greatest, so it ends
         todo = state.filter(F.col("lo") < F.col("hi"))
         if todo.isEmpty():
             break
@@ -75,9 +85,27 @@ def exact_quantiles(values: DataFrame, probs: Sequence[float], bins: int = 512,
         pick = (F.col("rank") > F.col("new_below")) & (F.col("rank") <= F.col("upto"))
         narrowed = todo.drop("hi", "below").join(hist, [*_KEY, "lo"]).filter(pick).select(*_KEY, "n", "prob", F.col("new_lo").alias("lo"), F.col("new_hi").alias("hi"), F.col("new_below").alias("below"), "rank", "hot")
         state = stage.put(state.filter(F.col("lo") >= F.col("hi")).select(*narrowed.columns).unionByName(narrowed))
+    if interpolate:
+        at = F.round(F.col("prob") * (F.col("n") - 1), 9)
+        value = F.min("lo") + (F.max("lo") - F.min("lo")) * F.max(at - F.floor(at))
+        return state.groupBy(*_KEY, "n", "prob").agg(value.alias("value"))
     return state.select(*_KEY, "n", "prob", F.col("lo").alias("value"))
 
 
+def add_quantiles(stats: DataFrame, df: DataFrame, wanted: Mapping[str, tuple[str, float]], by: Sequence[str] = (), weight: str | None = None, bins: int = 4096) -> DataFrame:
+    """``stats`` with the interpolated quantiles ``wanted``: column name to (column of ``df``, probability), per ``by``.
+
+    No task holds the values of a group, as an aggregate function would; ``df`` is read once.
+    """
+    key = F.to_json(F.struct(*by)) if by else F.lit("")
+    metrics = sorted({c for c, _ in wanted.values()})
+    extra = [F.col(weight)] if weight else []
+    long = df.select(F.lit("").alias("field"), key.alias("key"), *extra, F.inline(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics))))
+    q = exact_quantiles(long, sorted({p for _, p in wanted.values()}), bins, interpolate=True, weight=weight)
+    wide = q.groupBy(F.col("key").alias("__cw_q")).agg(*(F.max(F.when((F.col("metric") == m) & (F.col("prob") == p), F.col("value"))).alias(n) for n, (m, p) in wanted.items()))
+    return stats.withColumn("__cw_k", key).join(wide, F.col("__cw_k") == F.col("__cw_q"), "left").drop("__cw_k", "__cw_q")
+
+
 def _name(metric: str, prob: float) -> str:
     return f"{metric.lower()}_p{round(prob * 100):02d}"
 
@@ -86,16 +114,18 @@ def key_profile(df: DataFrame, entity: str, keys: Sequence[str], metrics: Sequen
     """Per key column and key: ``n_rows, n_samples, share, is_hot`` and, per metric, the count and exact quantiles."""
     rows = cut_lineage(entity_rows(df, entity, keys, metrics))
     total = df.filter(~is_missing(F.col(entity).cast("string"))).select(F.col(entity).cast("string").alias("e")).distinct().count()
-    counts = rows.groupBy("field", "key").agg(F.sum("n_rows").alias("n_rows"), F.count("*").alias("n_samples"))
-    long = rows.select("field", "key", F.inline(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(f"m{i}").alias("v")) for i, m in enumerate(metrics)))))
+    counts = rows.groupBy("field", "key").agg(F.sum("n_rows").alias("n_rows"))
+    # every entity has a number of rows: the selection's own count of that metric is the number of entities
+    parts = [F.struct(F.lit(_ROWS).alias("metric"), F.col("n_rows").cast("double").alias("v")), *(F.struct(F.lit(m).alias("metric"), F.col(f"m{i}").alias("v")) for i, m in enumerate(metrics))]
+    long = rows.select("field", "key", F.inline(F.array(*parts)))
     q = exact_quantiles(long, probs)
 
     def pick(m: str, what: Column) -> Column:
         return F.max(F.when(F.col("metric") == m, what))
 
-    wide = q.groupBy("field", "key").agg(*(x for m in metrics for x in (pick(m, F.col("n")).alias(f"{m.lower()}_n"), *(F.max(F.when((F.col("metric") == m) & (F.col("prob") == p), F.col("value"))).alias(_name(m, p)) for p in probs))))
+    wide = q.groupBy("field", "key").agg(pick(_ROWS, F.col("n")).alias("n_samples"), *(x for m in metrics for x in (pick(m, F.col("n")).alias(f"{m.lower()}_n"), *(F.max(F.when((F.col("metric") == m) & (F.col("prob") == p), F.col("value"))).alias(_name(m, p)) for p in probs))))
     share = F.col("n_samples") / F.lit(float(max(total, 1)))
-    out = counts.join(wide, ["field", "key"], "left").select(
+    out = counts.join(wide, ["field", "key"]).select(
         F.col("field").alias("field_name"), F.col("key").alias("key_value"), "n_rows", "n_samples", share.alias("share"), (F.col("n_samples") > hot_share * total).alias("is_hot"),
         *(x for m in metrics for x in (F.coalesce(f"{m.lower()}_n", F.lit(0).cast(T.LongType())).alias(f"{m.lower()}_n"), *(F.col(_name(m, p)) for p in probs))),
     )

@@ -14,7 +14,8 @@ from corpusweave.functions.metadata import surrogate_id
 from corpusweave.functions.taxonomy import DEPTH_ORDER, RANKS, has_split_suffix, is_real, keep_feature, rank_token, split_key, with_ranks
 from corpusweave.operators import counts as C
 from corpusweave.operators import merge as M
-from corpusweave.session import read_table
+from corpusweave.operators.skew import add_quantiles
+from corpusweave.session import Stage, read_table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -109,8 +110,9 @@ def corpus_empty_samples(spark, sf):
 @query(f"with {_F}, {_T} select min(total_reads) as least, median(total_reads) as mid, max(total_reads) as most, min(n_taxa) as least_taxa, median(n_taxa) as mid_taxa, max(n_taxa) as most_taxa from t")
 def corpus_summary(spark, sf):
     """Least, middle and greatest totals."""
-    t = C.sample_totals(_facts(spark, sf))
-    return t.agg(*(g(c).alias(a + s) for c, s in (("total_reads", ""), ("n_taxa", "_taxa")) for g, a in ((F.min, "least"), (F.median, "mid"), (F.max, "most"))))
+    t = Stage(spark).put(C.sample_totals(_facts(spark, sf)))
+    stats = t.agg(*(g(c).alias(a + s) for c, s in (("total_reads", ""), ("n_taxa", "_taxa")) for g, a in ((F.min, "least"), (F.max, "most"))))
+    return add_quantiles(stats, t, {"mid": ("total_reads", 0.5), "mid_taxa": ("n_taxa", 0.5)})
 
 
 # ---------------------------------------------------------------- taxonomy

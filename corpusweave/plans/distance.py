@@ -15,8 +15,9 @@ from corpusweave.operators import distance as D
 from corpusweave.operators import ordination as O
 from corpusweave.operators import sampling as S
 from corpusweave.operators import tree as T
+from corpusweave.operators.skew import add_quantiles
 from corpusweave.plans.corpus import _QC, _RANKED, _qc, _taxonomy
-from corpusweave.session import cut_lineage, read_table
+from corpusweave.session import Stage, cut_lineage, read_table
 from corpusweave.sources.newick import newick_nodes, write_newick
 
 QUERIES: dict = {}
@@ -79,11 +80,12 @@ def distance_unifrac_sampled(spark, sf):
     return D.weighted_unifrac(_picked(spark, sf), nodes, tips, every_pair=True).withColumn("dist", F.round("dist", 6))
 
 
-@query(f"with {_SHARE}, p as (select * from s), {_MASS}, mt as (select sample, sum(w * v) as t from m group by 1), d as (select a.sample as i, b.sample as j, sum(a.w * least(a.v, b.v)) as s from m a join m b on a.node = b.node and a.sample < b.sample group by 1, 2) select i, j, round(1 - 2 * d.s / (x.t + y.t), 6) as dist from d join mt x on x.sample = i join mt y on y.sample = j")
+@query(f"with {_SHARE}, p as (select * from s), {_MASS}, mt as (select sample, sum(w * v) as t from m group by 1), d as (select a.sample as i, b.sample as j, sum(a.w * least(a.v, b.v)) as s from m a join m b on a.node = b.node and a.sample < b.sample group by 1, 2) select i, j, round(1 - 2 * d.s / (x.t + y.t) + 1e-9, 6) as dist from d join mt x on x.sample = i join mt y on y.sample = j")
 def distance_unifrac(spark, sf):
     """Weighted normalised UniFrac of all pairs of samples with a common node; all other pairs have distance 1."""
     nodes, tips = _feature_tree(spark, sf)
-    return D.weighted_unifrac(cut_lineage(_shares(spark, sf)), nodes, tips).withColumn("dist", F.round("dist", 6))
+    out = D.weighted_unifrac(cut_lineage(_shares(spark, sf)), nodes, tips)
+    return out.withColumn("dist", F.round(F.col("dist") + 1e-9, 6))  # so that halves of the last digit, which sums in another order miss, go one way
 
 
 @query(f"with {_PICK}, d as (select 1 - sum(least(a.share, b.share)) as dist from p a join p b on a.feature = b.feature and a.sample < b.sample group by a.sample, b.sample) select count(*) as pairs, round(min(dist), 6) as least, round(median(dist), 6) as mid, round(max(dist), 6) as most, 0 as unknown, 0 as out_of_range from d")
@@ -97,7 +99,7 @@ def distance_audit(spark, sf):
 def distance_audit_all(spark, sf):
     """Range and faults of the distances of all pairs of samples."""
     s = cut_lineage(_shares(spark, sf))
-    a = D.audit_all(cut_lineage(D.bray_curtis(s)), s)
+    a = D.audit(D.bray_curtis(s), s)
     return a.select("pairs", *(F.round(c, 6).alias(c) for c in ("least", "mid", "most")), "unknown", "out_of_range")
 
 
@@ -244,7 +246,9 @@ def distance_norms(spark, sf):
     """Norms of the vectors per label."""
     x = F.col("embedding")
     e = read_table(spark, sf, "embeddings").select("label", D.euclidean(x, F.transform(x, lambda v: F.lit(0.0))).alias("nrm"))
-    return e.groupBy("label").agg(F.count("*").alias("n"), *(F.round(g, 6).alias(a) for g, a in ((F.min("nrm"), "least"), (F.median("nrm"), "mid"), (F.percentile("nrm", F.lit(0.95)), "p95"), (F.max("nrm"), "most"))))
+    e = Stage(spark).put(e)
+    out = add_quantiles(e.groupBy("label").agg(F.count("*").alias("n"), F.min("nrm").alias("least"), F.max("nrm").alias("most")), e, {"mid": ("nrm", 0.5), "p95": ("nrm", 0.95)}, ["label"])
+    return out.select("label", "n", *(F.round(c, 6).alias(c) for c in ("least", "mid", "p95", "most")))
 
 
 @query("select label as bucket, count(*) as n, round(min(embedding[1]) - 0.04 * (max(embedding[1]) - min(embedding[1])), 6) as x_from, round(max(embedding[1]) + 0.04 * (max(embedding[1]) - min(embedding[1])), 6) as x_to, round(min(embedding[2]) - 0.04 * (max(embedding[2]) - min(embedding[2])), 6) as y_from, round(max(embedding[2]) + 0.04 * (max(embedding[2]) - min(embedding[2])), 6) as y_to from embeddings group by 1")

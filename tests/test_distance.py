@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusweave.operators import distance as D
 from corpusweave.operators import ordination as O
@@ -147,7 +148,7 @@ def test_pcoa_of_listed_pairs(spark, limit):
 
 def test_audit_of_all_pairs(spark):
     s = spark.createDataFrame([*SHARES, ("x", "z", 1.0)], "sample string, feature string, share double")
-    assert tuple(D.audit_all(D.bray_curtis(s), s).head()) == (6, 0.5, 1.0, 1.0, 0, 0)
+    assert tuple(D.audit(D.bray_curtis(s), s).select("pairs", "least", "mid", "most", "unknown", "out_of_range").head()) == (6, 0.5, 1.0, 1.0, 0, 0)
     assert tuple(D.audit_all(D.bray_curtis(s), s).head()) == tuple(D.audit(D.bray_curtis(s, every_pair=True)).head())
 
 
@@ -169,3 +170,17 @@ def test_embedding(spark):
     got = [float(np.linalg.norm(c[r.i] - c[r.j])) for r in d.collect()]
     want = [scale * r.dist for r in d.collect()]
     assert np.corrcoef(got, want)[0, 1] > 0.99
+
+
+def test_kernels_agree_where_all_samples_share_a_feature(spark):
+    """The join, the blocks and brute force give the same sums; the cheaper kernel is chosen from counts."""
+    rng = np.random.default_rng(4)
+    rows = [(f"s{i:02}", f, float(rng.random()), w) for i in range(40) for f, w in (("all", 1.0), ("most", 0.5), *((f"f{k}", 2.0) for k in range(30))) if f == "all" or (f == "most" and i % 5) or rng.random() < 0.1]
+    v = spark.createDataFrame(rows, "sample string, feature string, v double, w double")
+    by = {}
+    for s, f, x, w in rows:
+        by.setdefault(s, {})[f] = (x, w)
+    want = {(a, b): sum(w * min(x, by[b][f][0]) for f, (x, w) in by[a].items() if f in by[b]) for a in by for b in by if a < b}
+    for got in (D.pair_sums(v, 7), D.block_sums(v.withColumn("t", F.lit(0.0)), 16), D.sums_of_minima(v, 4), D.sums_of_minima(v, 4, 1e-9)):
+        got = {(r.i, r.j): r.s for r in got.collect()}
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)

@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from corpusweave.operators.skew import exact_quantiles, key_profile
+from corpusweave.operators.skew import add_quantiles, exact_quantiles, key_profile
 from corpusweave.plans.skew import p3_found, p3_profile
 
 PROBS = (0.0, 0.1, 0.5, 0.9, 1.0)
@@ -47,3 +47,16 @@ def test_profile_cases(spark):
 def test_found_is_the_hot_part(spark, sf):
     all_keys = p3_profile(spark, sf)
     assert {tuple(r) for r in p3_found(spark, sf).collect()} == {(r.field_name, r.key_value) for r in all_keys.collect() if r.share > 0.02}
+
+
+def test_interpolated_and_weighted_quantiles(spark):
+    rng = np.random.default_rng(2)
+    rows = [(g, None if i % 9 == 0 else float(x)) for g, n in (("a", 101), ("b", 40), ("c", 1), ("d", 0)) for i, x in enumerate(rng.normal(0, 3, n))] + [("d", None), ("b", float("nan")), ("b", float("inf")), (None, 4.0), (None, 5.0)]
+    df = spark.createDataFrame([(*r, 1 + i % 3) for i, r in enumerate(rows)], "g string, v double, k int")
+    got = {r.g: r for r in add_quantiles(df.groupBy("g").count(), df, {"mid": ("v", 0.5), "p90": ("v", 0.9)}, ["g"]).collect()}
+    twice = add_quantiles(df.groupBy().count(), df, {"mid": ("v", 0.5)}, weight="k").head().mid
+    real = lambda v: v is not None and math.isfinite(v)
+    for g in ("a", "b", "c", "d", None):
+        own = [v for h, v in rows if h == g and real(v)]
+        assert got[g].mid == (pytest.approx(np.quantile(own, 0.5)) if own else None) and got[g].p90 == (pytest.approx(np.quantile(own, 0.9)) if own else None)
+    assert twice == pytest.approx(np.median([v for i, (_, v) in enumerate(rows) if real(v) for _ in range(1 + i % 3)]))
