@@ -21,9 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusweave.functions.text import is_missing, strip
-from corpusweave.session import cut_lineage
+from corpusweave.session import Stage, cut_lineage
 
 EARTH_KM = 6371.0088
+#: Bits of the map of occupied cells; it is broadcast as at most a 64th as many rows.
+_OCCUPIED = 1 << 25
 
 _NUM = r"[+-]?\d+(?:\.\d+)?"
 _ANG = r"\d+(?:\.\d+)?\s*°?|\d+,\d+\s*°?|\d+\s*[° ]\s*\d+(?:\.\d+)?\s*'|\d+\s*[° ]\s*\d+\s*[' ]\s*\d+(?:\.\d+)?\s*\"?"
@@ -124,13 +126,19 @@ def near_pairs(points: DataFrame, radius_km: float = 1.0, hot_rows: int = 4096)
     turn). Cells wholly inside the disc accept their points at once, the rest are tested exactly. A cell with more than
     ``hot_rows`` points is dealt out over as many salts as it needs: one side is split, the other repeated, so no task meets
     a whole hot cell. The table of hot cells is broadcast; it has at most 2000 rows whatever the input, because the
-    threshold rises with the number of points.
+    threshold rises with the number of points. So is a bitmap of the cells that hold points, ``_OCCUPIED`` bits at any
+    input, by which the empty cells of the coverage are dropped. Pairs are only made distinct where one of the two has
+    several positions; the others meet in one cell alone.
     """
     g = _Grid(radius_km)
-    p = points.withColumn("band", g.band(F.col("lat"))).withColumn("n_cols", g.columns(F.col("band")))
+    # only identities with several positions can meet twice
+    many = Stage(points.sparkSession).put(points.groupBy("id").count().filter("count > 1").select("id", F.lit(True).alias("many")))
+    n_many = many.count()
+    several = points.join(F.broadcast(many) if n_many <= 100_000 else many, "id", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    p = several.withColumn("band", g.band(F.col("lat"))).withColumn("n_cols", g.columns(F.col("band")))
     p = p.withColumn("cell", g.key(F.col("band"), F.least(F.floor((F.col("lon") + 180) / (360 / F.col("n_cols"))), F.col("n_cols") - 1).cast("long") % F.col("n_cols")))
     # 180 and -180 are the same meridian
-    p = p.withColumn("cell", F.when(F.col("lon") == 180, g.key(F.col("band"), F.lit(0))).otherwise(F.col("cell"))).select("id", "lat", "lon", "band", "cell")
+    p = p.withColumn("cell", F.when(F.col("lon") == 180, g.key(F.col("band"), F.lit(0))).otherwise(F.col("cell"))).select("id", "lat", "lon", "many", "band", "cell")
     # bound: a cell counts as hot with more than n / 2000 points
     n = points.count()
     hot = p.groupBy("cell").count().filter(F.col("count") > max(hot_rows, n / 2000)).select("cell", F.ceil(F.col("count") / hot_rows).cast("int").alias("salts"))
@@ -148,15 +156,23 @@ def near_pairs(points: DataFrame, radius_km: float = 1.0, hot_rows: int = 4096)
     far = F.greatest(F.abs(left), F.abs(left + F.col("w")))
     bottom = F.col("b") * g.edge - 90
     inside = F.greatest(*(_half_chord(lat, F.lit(0.0), y, F.least(far, F.lit(180.0))) for y in (bottom, bottom + g.edge))) <= g.limit * (1 - 1e-6)
-    probe = probe.select("id", "lat", "lon", F.col("to").alias("cell"), (F.col("to") == F.col("cell")).alias("own"), inside.alias("interior"))
+    probe = probe.select("id", "lat", "lon", "many", F.col("to").alias("cell"), (F.col("to") == F.col("cell")).alias("own"), inside.alias("interior"))
+    # most cells around a point are empty: what no point lies in is dropped before the shuffle
+    at = F.pmod(F.xxhash64("cell"), F.lit(_OCCUPIED)).cast("int")
+    taken = p.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(cell), {_OCCUPIED}) as int) & 63)")).alias("bits"))
+    probe = probe.withColumn("at", at).withColumn("word", F.shiftright("at", 6)).join(F.broadcast(taken), "word").filter(F.col("own") | (F.expr("shiftrightunsigned(bits, at & 63) & 1") == 1)).drop("at", "word", "bits")
     probe = probe.join(hot, "cell", "left").select("*", F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")).alias("salt")).drop("salts")
-    home = p.select("cell", F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2")).join(hot, "cell", "left")
+    home = p.select("cell", F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), F.col("many").alias("many2")).join(hot, "cell", "left")
     home = home.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1))).drop("salts")
     pairs = probe.join(home, ["cell", "salt"]).filter(
         F.when(F.col("own"), F.col("id") < F.col("id2")).otherwise(F.col("id") != F.col("id2"))
         & (F.col("own") | F.col("interior") | (_half_chord(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= g.limit))
     )
-    return pairs.select(F.least("id", "id2").alias("left_id"), F.greatest("id", "id2").alias("right_id")).distinct()
+    pairs = pairs.select(F.least("id", "id2").alias("left_id"), F.greatest("id", "id2").alias("right_id"), (F.col("many") | F.col("many2")).alias("many"))
+    if not n_many:
+        return pairs.select("left_id", "right_id")
+    pairs = Stage(points.sparkSession).put(pairs)
+    return pairs.filter(~F.col("many")).select("left_id", "right_id").unionByName(pairs.filter("many").select("left_id", "right_id").distinct())
 
 
 # ---------------------------------------------------------------- polygons
@@ -227,31 +243,50 @@ def cover_ring(ring: np.ndarray, max_cells: int = 256, max_level: int = 12) -> l
 
 
 def cover_regions(regions: DataFrame, id_col: str, ring_lat: str, ring_lon: str, max_cells: int = 256, max_level: int = 12) -> DataFrame:
-    """``region, level, cell, interior, edges, x0`` for every region; the sides come only with boundary cells."""
+    """``region, level, cell, interior`` for every region; the sides stay in ``ring_sides``, however many a ring has."""
 
     def run(batches):
         for b in batches:
             rows = []
             for rid, la, lo in zip(b["region"], b["la"], b["lo"], strict=True):
                 ring = unwrap_ring(la, lo)
-                if rid is None or ring is None:
-                    continue
-                nxt = np.roll(ring, -1, axis=0)
-                sides = [{"y1": a[1], "x1": a[0], "y2": z[1], "x2": z[0]} for a, z in zip(ring.tolist(), nxt.tolist(), strict=True)]
-                rows.extend((rid, lv, cell, inner, None if inner else sides, float(ring[:, 0].min())) for lv, cell, inner in cover_ring(ring, max_cells, max_level))
-            yield pd.DataFrame(rows, columns=["region", "level", "cell", "interior", "edges", "x0"])
+                if rid is not None and ring is not None:
+                    rows.extend((rid, lv, cell, inner) for lv, cell, inner in cover_ring(ring, max_cells, max_level))
+            yield pd.DataFrame(rows, columns=["region", "level", "cell", "interior"])
 
     src = regions.select(F.col(id_col).cast("string").alias("region"), F.col(ring_lat).alias("la"), F.col(ring_lon).alias("lo"))
-    return src.mapInPandas(run, "region string, level int, cell long, interior boolean, edges array<struct<y1:double,x1:double,y2:double,x2:double>>, x0 double")
+    return src.mapInPandas(run, "region string, level int, cell long, interior boolean")
 
 
-def inside_regions(points: DataFrame, regions: DataFrame, id_col: str, ring_lat: str, ring_lon: str, max_cells: int = 256, broadcast_rows: int = 50_000) -> DataFrame:
+def ring_sides(regions: DataFrame, id_col: str, ring_lat: str, ring_lon: str) -> DataFrame:
+    """``region, edges, x0``: the sides of every ring, and its westernmost longitude; several rings of one id stay apart."""
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for rid, la, lo in zip(b["region"], b["la"], b["lo"], strict=True):
+                ring = unwrap_ring(la, lo)
+                if rid is not None and ring is not None:
+                    nxt = np.roll(ring, -1, axis=0)
+                    rows.append((rid, [{"y1": a[1], "x1": a[0], "y2": z[1], "x2": z[0]} for a, z in zip(ring.tolist(), nxt.tolist(), strict=True)], float(ring[:, 0].min())))
+            yield pd.DataFrame(rows, columns=["region", "edges", "x0"])
+
+    src = regions.select(F.col(id_col).cast("string").alias("region"), F.col(ring_lat).alias("la"), F.col(ring_lon).alias("lo"))
+    return src.mapInPandas(run, "region string, edges array<struct<y1:double,x1:double,y2:double,x2:double>>, x0 double")
+
+
+def inside_regions(points: DataFrame, regions: DataFrame, id_col: str, ring_lat: str, ring_lon: str, max_cells: int = 256, broadcast_bytes: int = 16 << 20) -> DataFrame:
     """``id, region`` for every point and every region that contains it, each pair once.
 
-    The coverage is written out once. It is broadcast if it has at most ``broadcast_rows`` cells (counted, not guessed),
-    otherwise points and cells are shuffled by cell. Hot cells then fall to the adaptive skew split, which is exact.
+    The coverage and the sides are written out once. Each is broadcast if its rows take at most ``broadcast_bytes`` in memory
+    (worked out from counts, not guessed): a cell takes 64 bytes and its name, a side 32. Otherwise points and cells are
+    shuffled by cell, and boundary matches and sides by region; hot keys then fall to the adaptive skew split, which is exact.
     """
-    cover = cut_lineage(cover_regions(regions, id_col, ring_lat, ring_lon, max_cells))
+    stage = Stage(points.sparkSession)
+    numbered = regions.select(F.monotonically_increasing_id().cast("string").alias("ring"), F.col(id_col).cast("string").alias("name"), F.col(ring_lat).alias("la"), F.col(ring_lon).alias("lo")).filter(F.col("name").isNotNull())
+    numbered = Stage(points.sparkSession).put(numbered)  # rings are told apart by number, names are looked up at the end
+    cover = stage.put(cover_regions(numbered, "ring", "la", "lo", max_cells))
+    sides = stage.put(ring_sides(numbered, "ring", "la", "lo"))
     levels = [r[0] for r in cover.select("level").distinct().collect()]  # at most max_level - 2 numbers
     if not levels:
         return points.select("id", F.lit(None).cast("string").alias("region")).limit(0)
@@ -262,9 +297,16 @@ def inside_regions(points: DataFrame, regions: DataFrame, id_col: str, ring_lat:
         col = F.pmod(F.floor((F.col("lon") + 180) / size).cast("long"), F.lit(1 << level))
         return F.lit(level << 2 * _KEY) + row * F.lit(1 << _KEY) + col
 
+    def weight(df: DataFrame, size: Column) -> int:
+        return df.agg(F.sum(size)).head()[0] or 0
+
+    def small(df: DataFrame, size: Column) -> DataFrame:
+        return F.broadcast(df) if weight(df, size) <= broadcast_bytes else df
+
+    per_ring = 64 + 32 * F.size("edges")
     p = points.select("id", "lat", "lon", F.explode(F.array(*(cell(lv) for lv in levels))).alias("cell"))
-    small = cover.count() <= broadcast_rows
-    hits = p.join(F.broadcast(cover) if small else cover, "cell")
+    hits = p.join(small(cover.drop("level"), F.lit(96)), "cell")
+    names = small(numbered.select(F.col("ring").alias("region"), "name"), 64 + F.octet_length("name"))
     x = F.col("lon") + 360 * F.ceil((F.col("x0") - F.col("lon")) / 360)
     y = F.col("lat")
     crossings = F.aggregate(
@@ -272,4 +314,9 @@ def inside_regions(points: DataFrame, regions: DataFrame, id_col: str, ring_lat:
         F.lit(0),
         lambda n, e: n + F.when((e["y1"] > y) != (e["y2"] > y), F.when(x < (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"], 1).otherwise(0)).otherwise(0),
     )
-    return hits.filter(F.col("interior") | (crossings % 2 == 1)).select("id", "region").distinct()
+    if weight(sides, per_ring) <= broadcast_bytes:
+        found = hits.join(F.broadcast(sides), "region").filter(F.col("interior") | (crossings % 2 == 1)).select("id", "region")
+    else:
+        edge = hits.filter(~F.col("interior")).join(sides, "region").filter(crossings % 2 == 1)
+        found = hits.filter("interior").select("id", "region").unionByName(edge.select("id", "region"))
+    return found.join(names, "region").select("id", F.col("name").alias("region")).distinct()
