@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusweave.functions.text import is_missing, key_or_null
 from corpusweave.llm.mixing import Mix
-from corpusweave.llm.percentiles import DIGITS, daily_counts, latest, percentiles
+from corpusweave.llm.percentiles import DIGITS, daily_counts, fields, kept, latest, percentiles, restatement
 from corpusweave.llm.proportions import ROUNDS, TargetSample
 from corpusweave.llm.tokenizer import encode_corpus, token_counts
 from corpusweave.llm.truncation import judge_documents
 from corpusweave.llm.variety import varied_subset
-from corpusweave.session import read_table
+from corpusweave.operators.sampling import simple_sample
+from corpusweave.session import Stage, read_table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -148,6 +150,19 @@ def p6_overall(spark: SparkSession, sf: str) -> DataFrame:
     return percentiles(_days(spark, sf), ("grp", "metric"), PROBS).withColumnRenamed("grp", "database")
 
 
+@query
+def p6_restated(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as ``p6_overall``, from the days' results of the first half of the time of loading and what the second half changes in them."""
+    df = read_table(spark, sf, "mcfcorpus_gg2")
+    at = F.unix_micros(F.col("loaded_at").cast("timestamp"))
+    first, last = df.agg(F.min(at), F.max(at)).head()
+    late = F.coalesce(at > ((first or 0) + (last or 0)) // 2, F.lit(False))
+    stage = Stage(spark)
+    stored, delivered = (stage.put(kept(df.filter(c), "obs_name", "computed_at", "loaded_at", "Database", METRICS)) for c in (~late, late))
+    counts = daily_counts(fields(stored, METRICS), METRICS).unionByName(restatement(stored, delivered, METRICS))
+    return percentiles(counts, ("grp", "metric"), PROBS).withColumnRenamed("grp", "database")
+
+
 def _percentile_sql(keys: str) -> str:
     one = "select obs_name, {m} from (select *, row_number() over (partition by obs_name order by loaded_at desc, total_reads desc nulls last, n_taxa desc nulls last, computed_at) as r from mcfcorpus_gg2) where r = 1"
     rows = one.format(m="case when lower(trim(coalesce(\"Database\", ''))) in ('', '-', 'nan', 'none', '<na>', 'na') then '(none)' else upper(trim(\"Database\")) end as database, cast(computed_at as date) as day, total_reads, n_taxa")
@@ -161,18 +176,51 @@ select {keys}, n, n_null, n_negative, {", ".join(f"p{round(p * 100):02d}" for p
 
 
 SQL["p6_daily"] = _percentile_sql("database, day, metric")
-SQL["p6_overall"] = _percentile_sql("database, metric")
+SQL["p6_overall"] = SQL["p6_restated"] = _percentile_sql("database, metric")
 
 VARIETY = ("Project_ID", "MA_Env_Animal_Sub", "RM_Sample_Site")
 
 
+VARIETY_CLUSTERS, VARIETY_WEIGHTS, VARIETY_EQUAL = 48, (0.3, 1.0, 1.0), True
+
+
 @query
 def p4_varied(spark: SparkSession, sf: str) -> DataFrame:
-    """One fiftieth of the distinct samples, chosen for variety.
+    """One fiftieth of the distinct samples, chosen for variety of all three fields.
 
-    The clusters are kinds of samples by environment and site; the quota of each is dealt out over its projects in rounds.
+    The quota of each cluster is dealt out over its kinds, the combinations of the three values, in rounds.
     """
-    return varied_subset(read_table(spark, sf, "merged_gg2_with_phylo"), "obs_name", VARIETY, share=0.02, k=128, weights=(0.0, 1.0, 1.0)).withColumnRenamed("id", "obs_name")
+    return varied_subset(read_table(spark, sf, "merged_gg2_with_phylo"), "obs_name", VARIETY, share=0.02, k=VARIETY_CLUSTERS, weights=VARIETY_WEIGHTS, equal=VARIETY_EQUAL).withColumnRenamed("id", "obs_name")
+
+
+def coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Per field: distinct values and share of the largest, of all samples, of the subset and of a random one of equal size."""
+    m = read_table(spark, sf, "merged_gg2_with_phylo")
+    ids = m.filter(~is_missing(F.col("obs_name"))).groupBy("obs_name").agg(*(F.max(key_or_null(F.col(f))).alias(f) for f in VARIETY))
+    ids = Stage(spark).put(ids)
+    chosen = Stage(spark).put(p4_varied(spark, sf).select("obs_name"))
+    sets = {"all": ids, "subset": ids.join(chosen, "obs_name"), "random": simple_sample(ids, chosen.count(), "obs_name")}
+    out = None
+    for name, d in sets.items():
+        n = d.select(F.inline(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("v")) for f in VARIETY)))).groupBy("field_name", "v").agg(F.count("*").alias("n"))
+        n = n.groupBy("field_name").agg(F.count("*").alias(f"values_{name}"), (F.max("n") / F.sum("n")).alias(f"largest_{name}"))
+        out = n if out is None else out.join(n, "field_name")
+    return out
+
+
+@query
+def p4_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Per field: what all samples and a random subset hold, and that the chosen subset covers no fewer values."""
+    return coverage(spark, sf).select("field_name", "values_all", "values_random", F.round("largest_all", 6).alias("largest_all"), F.round("largest_random", 6).alias("largest_random"), (F.col("values_subset") >= F.col("values_random")).alias("covers_more"))
+
+
+_KEY_SQL = "case when lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')) in ('', '-', 'nan', 'none', '<na>', 'na') then null else upper(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')) end"
+SQL["p4_coverage"] = (
+    f"with ids as (select obs_name, {', '.join(f'max({_KEY_SQL.format(f)}) as {f}' for f in VARIETY)} from merged_gg2_with_phylo where {_HAS_ID} group by 1), "
+    "pick as (select * from (select *, row_number() over (order by md5('42|' || obs_name)) as r, count(*) over () as total from ids) where r <= floor(total / 50)), "
+    + ", ".join(f"{t} as (select field_name, count(*) as vals, max(n) / sum(n) as largest from (" + " union all ".join(f"select '{f}' as field_name, {f} as v, count(*) as n from {src} group by {f}" for f in VARIETY) + ") group by 1)" for t, src in (("a", "ids"), ("b", "pick")))
+    + " select field_name, a.vals as values_all, b.vals as values_random, round(a.largest, 6) as largest_all, round(b.largest, 6) as largest_random, true as covers_more from a join b using (field_name)"
+)
 
 
 def _judged(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,7 +3,8 @@
 Records alike in all features form a group; groups are embedded as feature vectors, and mini-batch k-means clusters the
 vectors. Every cluster gets a quota by the square root of its number of records (or an equal one), no more than it has;
 what a cluster cannot use is handed to the others. Within a cluster the quota is dealt out over its groups in rounds, one
-record per group and round, so a large group of like records gives no more than a small one until that one is used up.
+record per group and round, so a large group of like records gives no more than a small one until that one is used up. A
+round that cannot reach all groups starts with those that lead a value of some feature, so that rare values come out first.
 
 Scale: vectors and clusters are computed per group, not per record. The passes of k-means send sums per cluster (``k`` rows)
 to the driver; the start of the clusters comes from at most ``init_rows`` groups, a documented bound of the model alone.
@@ -30,7 +31,7 @@ from pyspark.sql.window import Window as W
 
 from corpusweave.functions.text import is_missing, key_or_null
 from corpusweave.operators.ranking import rank_in_bins, uniform
-from corpusweave.session import cut_lineage
+from corpusweave.session import Stage, cut_lineage
 
 DIM = 24
 
@@ -85,8 +86,10 @@ def _start(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.nda
 
 
 def mini_batch_kmeans(groups: DataFrame, k: int, batches: int = 4, rounds: int = 3, init_rows: int = 4096, seed: int = 42) -> np.ndarray:
-    """Centres from ``vec`` weighted by the square root of ``n``. Each round goes once over all groups, batch by batch."""
-    first = groups.select("vec", "n", F.col("h")).orderBy("h").limit(init_rows).collect()  # bounded start of the model
+    """Centres from ``vec`` weighted by the square root of ``n``. Each round goes once over all groups, batch by batch; the
+    groups are written in folders by batch, so a step reads its own batch alone."""
+    parts = Stage(groups.sparkSession).put(groups.select("vec", "n", "h", F.pmod(F.floor(F.col("h") * (1 << 20)), F.lit(batches)).cast("int").alias("batch")), "batch")
+    first = parts.select("vec", "n", "h").orderBy("h").limit(init_rows).collect()  # bounded start of the model
     if not first:
         return np.zeros((0, DIM))
     centres = _start(np.array([r["vec"] for r in first], dtype=float), np.sqrt([r["n"] for r in first]), k, seed)
@@ -104,7 +107,7 @@ def mini_batch_kmeans(groups: DataFrame, k: int, batches: int = 4, rounds: int =
             at = np.flatnonzero(w)
             yield pd.DataFrame({"cluster": at, "w": w[at], "s": list(s[at])})
 
-        part = groups.filter(F.pmod(F.floor(F.col("h") * (1 << 20)), F.lit(batches)) == step % batches).select("vec", "n")
+        part = parts.filter(F.col("batch") == step % batches).select("vec", "n")
         own = part.mapInPandas(sums, "cluster int, w double, s array<double>").groupBy("cluster").agg(F.sum("w").alias("w"), *(F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(DIM)))
         for r in own.collect():  # k rows
             seen[r["cluster"]] += r["w"]
@@ -149,10 +152,16 @@ def varied_subset(df: DataFrame, id_col: str, features: Sequence[str], size: int
             yield b[["g", *names, "n", "h", "cluster"]]
 
     kinds = ", ".join(f"{n} string" for n in names)
+    # the first group of every value of a feature leads: in a round that does not reach all groups of a cluster, leaders come first
+    leads = None
+    for n in names:
+        one = groups.groupBy(n).agg(F.min_by("g", "h").alias("g")).select("g")
+        leads = one if leads is None else leads.unionByName(one)
+    groups = groups.join(leads.distinct().withColumn("lead", F.lit(True)), "g", "left").withColumn("h", F.when(F.col("lead"), F.col("h") / 2).otherwise((1 + F.col("h")) / 2))
     placed = cut_lineage(groups.mapInPandas(assign, f"g long, {kinds}, n long, h double, cluster int"))
-    sizes = {r["cluster"]: r["n"] for r in placed.groupBy("cluster").agg(F.sum("n").alias("n")).collect()}  # k rows
-    quota = quotas(sizes, want, equal)
-    plan = F.broadcast(df.sparkSession.createDataFrame(list(quota.items()) or [(0, 0)], "cluster int, quota long"))
+    found = placed.groupBy("cluster").agg(F.sum("n").alias("n"), F.count("*").alias("groups")).collect()  # k rows
+    quota = quotas({r["cluster"]: r["n"] for r in found}, want, equal)
+    plan = F.broadcast(df.sparkSession.createDataFrame([(r["cluster"], quota[r["cluster"]], math.ceil(r["groups"] / slice_rows)) for r in found], "cluster int, quota long, bins int"))
 
     # rounds: after r rounds a cluster has given sum(min(n, r)); find the last full round and what is left for the next
     by_size = placed.groupBy("cluster", "n").agg(F.count("*").alias("m"))
@@ -160,10 +169,10 @@ def varied_subset(df: DataFrame, id_col: str, features: Sequence[str], size: int
     level = by_size.select("cluster", "n", F.coalesce(F.sum(F.col("n") * F.col("m")).over(up), F.lit(0)).alias("used"), F.coalesce(F.max("n").over(up), F.lit(0)).alias("prev"), F.sum("m").over(W.partitionBy("cluster").orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, W.currentRow)).alias("open"))
     level = level.join(plan, "cluster").filter((F.col("used") + F.col("prev") * F.col("open") <= F.col("quota")) & (F.col("quota") < F.col("used") + F.col("n") * F.col("open")))
     spare = F.col("quota") - F.col("used")
-    level = level.select("cluster", F.floor(spare / F.col("open")).cast("long").alias("full"), (spare % F.col("open")).cast("long").alias("extra"))
+    level = level.select("cluster", "bins", F.floor(spare / F.col("open")).cast("long").alias("full"), (spare % F.col("open")).cast("long").alias("extra"))
     # a cluster that gives all it has reaches no such level
     seats = placed.join(F.broadcast(level), "cluster", "left")
-    ranked = rank_in_bins(seats.filter(F.col("n") > F.col("full")), ["cluster"], "h", ["g", *names], F.lit(256)).select("g", *names, "n", "cluster", (F.col("full") + (F.col("rank") <= F.col("extra")).cast("long")).alias("seats"))
+    ranked = rank_in_bins(seats.filter(F.col("n") > F.col("full")), ["cluster"], "h", ["g", *names], F.col("bins")).select("g", *names, "n", "cluster", (F.col("full") + (F.col("rank") <= F.col("extra")).cast("long")).alias("seats"))
     whole = seats.filter(F.coalesce(F.col("n") <= F.col("full"), F.lit(True))).select("g", *names, "n", "cluster", F.col("n").alias("seats"))
     seats = ranked.unionByName(whole).filter(F.col("seats") > 0)
     # groups with more than a thousandth of the records, at most 1000 of them, are met by broadcast: their rows are not shuffled

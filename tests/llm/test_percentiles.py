@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from corpusweave.llm.percentiles import daily_counts, latest, percentiles
+from corpusweave.llm.percentiles import daily_counts, fields, kept, latest, percentiles, restatement
 
 PROBS = (0.0, 0.01, 0.5, 0.95, 1.0)
 
@@ -52,5 +52,24 @@ def test_latest(spark):
     df = spark.createDataFrame([(*r, 0) for r in rows], "id string, db string, at timestamp, loaded timestamp, m long, k int, day int")
     got = sorted(map(tuple, latest(df, "id", "at", "loaded", "db", ["m", "k"]).collect()), key=str)
     d = dt.date
-    assert got == sorted([("X", d(2024, 1, 1), 6, None), ("Y", d(2024, 1, 2), 2, 2), ("(none)", d(2024, 1, 1), 3, 3), ("(none)", d(2024, 1, 1), 3, 3)], key=str)
+    assert got == sorted([("X", d(2024, 1, 1), 6, None), ("Y", d(2024, 1, 2), 2, 2), ("(none)", d(2024, 1, 1), 3, 3), ("(none)", d(2024, 1, 1), 3, 3), ("X", None, 3, 3)], key=str)
     assert percentiles(daily_counts(latest(df.limit(0), "id", "at", "loaded", "db", ["m", "k"]), ["m", "k"]), ["grp", "day", "metric"], PROBS).count() == 0
+
+
+def test_restatement_across_days(spark):
+    """A sample that comes again on another day leaves the old day's result; days with nothing left vanish."""
+    t = lambda d: dt.datetime(2024, 1, d)
+    first = [("a", "x", t(1), t(1), 5), ("b", "x", t(1), t(1), 7), ("c", "x", t(2), t(2), 9), (None, "x", t(1), t(1), 1), ("f", "x", None, t(1), 4)]
+    later = [("a", "x", t(3), t(4), 50), ("c", "x", t(2), t(1), 8), ("d", "y", t(1), t(4), 3), (None, "x", t(1), t(1), 1), ("c", "x", t(4), t(5), 9)]
+    make = lambda rows: kept(spark.createDataFrame(rows, "id string, db string, at timestamp, loaded timestamp, m long"), "id", "at", "loaded", "db", ["m"])
+    stored, new = make(first), make(later)
+    change = restatement(stored, new, ["m"])
+    d = dt.date
+    assert {(r.grp, r.day, r.value): r.n for r in change.collect()} == {("X", d(2024, 1, 1), 5): -1, ("X", d(2024, 1, 3), 50): 1, ("X", d(2024, 1, 2), 9): -1, ("X", d(2024, 1, 4), 9): 1, ("Y", d(2024, 1, 1), 3): 1, ("X", d(2024, 1, 1), 1): 1}
+    added = daily_counts(fields(stored, ["m"]), ["m"]).unionByName(change)
+    whole = daily_counts(fields(make(first + later), ["m"]), ["m"])
+    for keys in (["grp", "day", "metric"], ["grp", "metric"]):
+        got, want = ({tuple(r) for r in percentiles(x, keys, PROBS).collect()} for x in (added, whole))
+        assert got == want
+    assert ("X", None, "m", 1) in {tuple(r)[:4] for r in percentiles(whole, ["grp", "day", "metric"], [0.5]).collect()}
+    assert restatement(stored, new.limit(0), ["m"]).count() == 0

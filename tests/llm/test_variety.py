@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusweave.functions.text import key_or_null
-from corpusweave.llm.plans import VARIETY, p4_varied
+from corpusweave.llm.plans import VARIETY, coverage, p4_varied
 from corpusweave.llm.variety import quotas, varied_subset
 
 
@@ -48,3 +48,16 @@ def test_on_the_table(spark):
     for top in kinds:  # the two largest kinds lose share
         assert sum((r.MA_Env_Animal_Sub, r.RM_Sample_Site) == tuple(top)[:2] for r in got) / len(got) < 0.8 * top["count"] / total
     assert len({r.RM_Sample_Site for r in got}) >= 10
+
+
+def test_all_three_fields_are_covered_better_than_by_chance(spark):
+    for r in coverage(spark, "/root/testdata/sf0.01").collect():
+        assert r.values_subset > r.values_random, r
+
+
+def test_rare_values_lead(spark):
+    """Where a cluster has fewer slots than groups, the first group of each value comes before second ones."""
+    rows = [(f"h{i}", f"p{i % 300}", "x") for i in range(3000)] + [(f"r{i}", "p0", f"rare{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "id string, p string, q string")
+    lead = varied_subset(df, "id", ["p", "q"], size=320, k=1).collect()
+    assert len({r.q for r in lead}) == 21 and len({r.p for r in lead}) == 300
