@@ -176,3 +176,8 @@ def pair_list(text: Column) -> Column:
 def gated(value: Column, gate: Column, wanted: str, missing: str = "-") -> Column:
     """The value only where the gate has the wanted value; the missing mark is NULL."""
     return F.when(gate == wanted, F.nullif(F.coalesce(value, F.lit(missing)), F.lit(missing)))
+
+
+def project_feature(project: Column, feature: Column) -> Column:
+    """The name of a feature within its project, ``project__feature``; NULL where either is."""
+    return F.concat(project.cast("string"), F.lit("__"), feature.cast("string"))

@@ -226,6 +226,39 @@ def ordination_eigenvalues(spark, sf):
     return _pcoa(spark, sf)[1]
 
 
+@query(f"with {_SHARE}, k as (select count(distinct sample) as n from q), d as (select 1 - sum(least(a.share, b.share)) as dist from s a join s b on a.feature = b.feature and a.sample < b.sample group by a.sample, b.sample) select n as points, round((sum(dist * dist) + n * (n - 1) / 2 - count(*)) / n, 6) as trace, 10 as axes, true as lengths, true as apart, true as eigen, true as within from d, k group by n")
+def ordination_check(spark, sf):
+    """What the axes of the ordination must satisfy, over all samples: the trace of the distances; lengths equal to the
+    eigenvalues; right angles; ``x' B x`` equal to the eigenvalue squared; explained shares of at most 1 together."""
+    s = cut_lineage(_shares(spark, sf))
+    pairs = Stage(spark).put(D.bray_curtis(s))
+    coords, values = O.pcoa(pairs, points=s.select(F.col("sample").alias("name")), missing=1.0)
+    coords = Stage(spark).put(coords)
+    lam = [r["eigval"] for r in values.orderBy("axis").collect()]  # ten rows
+    k, top = len(lam), max(lam, default=0.0)
+    x, y = coords.select(F.col("name").alias("i"), F.col("coords").alias("x")), coords.select(F.col("name").alias("j"), F.col("coords").alias("y"))
+    # the axes are centred, so distances of 1 enter as a constant and only listed pairs are summed
+    listed = pairs.join(x, "i").join(y, "j").select(*(F.get("x", F.lit(a)) * F.get("y", F.lit(a)) * (F.col("dist") * F.col("dist") - 1) for a in range(k)))
+    forms = [r or 0.0 for r in listed.agg(*(F.sum(c) for c in listed.columns)).head()]
+    dots = coords.agg(*(F.sum(F.get("coords", F.lit(a)) * F.get("coords", F.lit(b))) for a in range(k) for b in range(a, k)), F.count("*")).head()
+    dot = dict(zip([(a, b) for a in range(k) for b in range(a, k)], dots, strict=False))
+    close = lambda u, v: abs(u - v) <= 1e-4 * max(top, 1e-9)
+    lengths = all(close(dot[a, a], lam[a]) for a in range(k))
+    apart = all(close(dot[a, b], 0.0) for a in range(k) for b in range(a + 1, k))
+    eigen = all(abs(0.5 * dot[a, a] - forms[a] - lam[a] * lam[a]) <= 1e-4 * max(top * top, 1e-9) for a in range(k))
+    return values.groupBy().agg(F.lit(dots[-1]).cast("long").alias("points"), F.round(F.max("trace"), 6).alias("trace"), F.count("*").alias("axes"), F.lit(lengths).alias("lengths"), F.lit(apart).alias("apart"), F.lit(eigen).alias("eigen"), (F.sum("explained") <= 1 + 1e-9).alias("within"))
+
+
+_SPECTRUM = _PICK.replace("limit 120", "limit 3000")
+
+
+@query(f"with {_SPECTRUM}, d as (select a.sample as i, b.sample as j, 1 - sum(least(a.share, b.share)) as dist from p a join p b on a.feature = b.feature and a.sample <> b.sample group by 1, 2), m as (select x.sample as i, y.sample as j, case when x.sample = y.sample then 0 else pow(coalesce(dist, 1), 2) end as q from pick x cross join pick y left join d on d.i = x.sample and d.j = y.sample), r as (select i, avg(q) as a from m group by 1), w as (select avg(q) as a from m), b as (select m.i, m.j, -0.5 * (q - x.a - y.a + w.a) as v from m join r x on x.i = m.i join r y on y.i = m.j cross join w) select count(distinct i) as points, round(sum(case when i = j then v end), 6) as trace, round(sum(v * v), 6) as squares from b")
+def ordination_spectrum_check(spark, sf):
+    """Sum and sum of squares of all eigenvalues, which the distances themselves must give."""
+    s = _picked(spark, sf, 3000)
+    return O.spectrum_sums(D.bray_curtis(s), points=s.select(F.col("sample").alias("name")), missing=1.0).select("points", F.round("trace", 6).alias("trace"), F.round("squares", 6).alias("squares"))
+
+
 @query()
 def ordination_spectrum(spark, sf):
     """Both ends of the spectrum of the distances of 3000 samples, the size of the reference's audit."""
@@ -259,7 +292,7 @@ def ordination_limits(spark, sf):
 
 @query("select cast(count(*) * (count(*) - 1) / 2 as bigint) as pairs, cast(0 as double) as worst, 0 as beyond from nation")
 def tree_cross_check(spark, sf):
-    """Path lengths over common ancestors against depths less twice the depth of the lowest one."""
+    """Depths less twice the depth of the lowest common ancestor against path lengths over common ancestors."""
     t = _places(spark, sf)
     names = t.filter("node >= 100").select("node", F.col("label").alias("name"))
-    return D.compare(T.patristic(t, names), T.patristic_by_depth(t, names)).select("pairs", F.round("worst", 6).alias("worst"), "beyond")
+    return D.compare(T.patristic(t, names), T.patristic_by_ancestors(t, names)).select("pairs", F.round("worst", 6).alias("worst"), "beyond")

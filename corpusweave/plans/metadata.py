@@ -294,3 +294,12 @@ def compare_overlap(spark, sf):
     b = read_table(spark, sf, "mcfcorpus_gg2").select("obs_name", F.col("Project_ID").alias("p"), F.col("Sex").alias("s")).distinct()
     j = a.join(b, "obs_name")
     return j.agg(F.count("*").alias("compared"), F.count_if(~F.col("Project_ID").eqNullSafe(F.col("p"))).alias("project"), F.count_if(~F.col("Sex").eqNullSafe(F.col("s"))).alias("sex"))
+
+
+@query("with f as (select o_orderstatus as project, l_partkey as asv, sum(l_linenumber) as n from lineitem join orders on l_orderkey = o_orderkey group by all), k as (select o_orderstatus as project, l_partkey as asv, min(l_returnflag) as mode from lineitem join orders on l_orderkey = o_orderkey where l_linenumber = 1 group by all) select f.project || '__' || f.asv as feature, n, mode from f left join k on f.project = k.project and f.asv = k.asv")
+def lookup_two_keys(spark, sf):
+    """A lookup by project and feature together, and the key that joins both names."""
+    j = read_table(spark, sf, "lineitem").join(read_table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_orderstatus").alias("project"), F.col("l_partkey").alias("asv"), "l_linenumber", "l_returnflag")
+    f = j.groupBy("project", "asv").agg(F.sum("l_linenumber").alias("n"))
+    k = j.filter("l_linenumber = 1").groupBy("project", "asv").agg(F.min("l_returnflag").alias("mode"))
+    return f.join(k, ["project", "asv"], "left").select(D.project_feature(F.col("project"), F.col("asv")).alias("feature"), "n", "mode")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import io
+import os
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from corpusweave.session import read_table, shared_folder
+from corpusweave.sources import biom
 from corpusweave.sources import bundle as B
 from corpusweave.sources import tabular as S
+from corpusweave.sources.newick import read_newick, write_newick
 from corpusweave.streaming import ingest as I
 
 QUERIES: dict = {}
@@ -70,6 +76,7 @@ def source_projects(spark, sf):
     wide.write.partitionBy("project").option("sep", "\t").option("header", True).option("nullValue", "").csv(path)
     cols = ["feature", *(f"s{i}" for i in range(1, 6))]
     t = S.read_projects(spark, f"{path}/project=*", cols, r"project=([^/]+)/")
+    S.require_inputs(j.select(F.col("o_orderstatus").alias("project")), t)
     return S.unpivot_counts(t, "feature", ["project"]).select("project", "feature", "sample", "n")
 
 
@@ -97,6 +104,60 @@ def source_pending(spark, sf):
     return B.done_work(n, done, "project").select("project")
 
 
+@query("select c_name, c_comment from (select '#' || c_custkey as c_name, c_mktsegment as c_comment from customer where c_nationkey < 9)")
+def source_first_comment(spark, sf):
+    """Comma-separated text whose first row below the header states types; other rows may begin with the same mark."""
+    path = _place(spark)
+    c = read_table(spark, sf, "customer").filter("c_nationkey < 9").select(F.concat(F.lit("#"), "c_custkey").alias("c_name"), F.col("c_mktsegment").alias("c_comment"))
+    lines = spark.createDataFrame([(0, "c_name,c_comment"), (1, "#q2:types,categorical")], "at int, value string").unionByName(c.select(F.lit(2).alias("at"), F.concat_ws(",", "c_name", "c_comment").alias("value")))
+    lines.coalesce(1).sortWithinPartitions("at").select("value").write.text(path)
+    return S.read_tsv(spark, path, ["c_name", "c_comment"], comment_key="c_name", sep=",")
+
+
+@query("select n_name as feature, c_mktsegment as sample, cast(count(*) as double) as n from customer join nation on c_nationkey = n_nationkey group by all")
+def source_biom(spark, sf):
+    """Counts of nations by segment through files of the count-table format, one per region."""
+    path = _place(spark).removeprefix("file:")
+    c = read_table(spark, sf, "customer").join(read_table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    n = c.groupBy("n_regionkey", "n_name", "c_mktsegment").agg(F.count("*").cast("double").alias("n"))
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        f, k = sorted(rows["n_name"].unique()), sorted(rows["c_mktsegment"].unique())
+        os.makedirs(path, exist_ok=True)
+        with open(f"{path}/r{rows['n_regionkey'].iloc[0]}.biom", "w", encoding="utf-8") as out:
+            out.write(biom.biom_text(f, k, [(f.index(a), k.index(b), v) for a, b, v in zip(rows["n_name"], rows["c_mktsegment"], rows["n"], strict=True)]))
+        return rows.iloc[:1][["n_regionkey"]].astype("int64")
+
+    n.groupBy("n_regionkey").applyInPandas(write, "n_regionkey long").count()  # nations by segments: a group has few rows
+    biom.register(spark)
+    return spark.read.format("biom").load(path).select("feature", "sample", "n")
+
+
+@query("select a.n_name as i, b.n_name as j, abs(a.n_nationkey - b.n_nationkey) / 10 as dist from nation a join nation b on a.n_name < b.n_name")
+def source_named_arrays(spark, sf):
+    """A square matrix in a named-array file as pairs."""
+    names = {r.n_name: r.n_nationkey for r in read_table(spark, sf, "nation").collect()}  # 25 rows
+    ids = sorted(names)
+    k = np.array([names[x] for x in ids], dtype=float)
+    buffer = io.BytesIO()
+    np.savez(buffer, dist=np.abs(k[:, None] - k[None]) / 10, var_id=np.array(ids))
+    path = _place(spark).removeprefix("file:")
+    os.makedirs(path)
+    with open(f"{path}/d.npz", "wb") as f:
+        f.write(buffer.getvalue())
+    return B.read_npz_pairs(spark, f"{path}/*.npz").select("i", "j", "dist")
+
+
+@query("select cast(1 + 5 + 25 as bigint) as nodes, sum(1 + n_nationkey % 3) + 10.0 as total from nation")
+def source_newick(spark, sf):
+    """The tree of places through a text file."""
+    r, n = read_table(spark, sf, "region").collect(), read_table(spark, sf, "nation").collect()  # 30 rows
+    nodes = [(0, None, "world", 0.0), *((1 + x.r_regionkey, 0, x.r_name, 2.0) for x in r), *((100 + x.n_nationkey, 1 + x.n_regionkey, x.n_name, 1.0 + x.n_nationkey % 3) for x in n)]
+    path = _place(spark)
+    spark.createDataFrame([(write_newick(nodes),)], "value string").coalesce(1).write.text(path)
+    return read_newick(spark, path, keep_tips=True).agg(F.count("*").alias("nodes"), F.round(F.sum("length"), 6).alias("total"))
+
+
 @query("select date_trunc('hour', ts) as window_start, event_type, count(*) as n, round(sum(value), 4) as total from events group by all")
 def stream_event_counts(spark, sf):
     """Hourly counts of the events, ingested as a stream."""

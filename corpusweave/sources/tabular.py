@@ -8,19 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusweave.operators.expect import ExpectationError
+
 
 def read_tsv(spark: SparkSession, path: str, columns: Sequence[str], header: bool = True, encoding: str = "UTF-8", null: str = "", comment_key: str | None = None, sep: str = "\t") -> DataFrame:
     """All columns as strings, nothing inferred; only ``null`` reads as NULL. Columns are named by position.
 
-    ``encoding`` may be UTF-16LE with a byte order mark. ``comment_key`` drops rows whose value there starts with ``#``,
-    such as a line of column types below the header.
+    ``encoding`` may be UTF-16LE with a byte order mark. ``comment_key`` drops the first row of a file if its value there
+    starts with ``#``, as a line of column types below the header does; later rows are data, whatever they start with.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     r = spark.read.schema(schema).option("sep", sep).option("header", header).option("nullValue", null).option("emptyValue", "").option("encoding", encoding).option("enforceSchema", True)
     if encoding.upper().startswith("UTF-16"):
         r = r.option("lineSep", "\n")
     out = r.csv(path)
-    return out.filter(~F.coalesce(F.col(comment_key).startswith("#"), F.lit(False))) if comment_key else out
+    if not comment_key:
+        return out
+    # a file's first row is the one of least number in its first block; numbers follow the order of the file within a block
+    marked = out.select("*", F.col("_metadata.file_path").alias("__cw_f"), F.col("_metadata.file_block_start").alias("__cw_b")).withColumn("__cw_i", F.monotonically_increasing_id())
+    first = marked.filter("__cw_b = 0").groupBy(F.col("__cw_f").alias("__cw_g")).agg(F.min("__cw_i").alias("__cw_i0"))
+    both = marked.join(first, (F.col("__cw_f") == F.col("__cw_g")) & (F.col("__cw_i") == F.col("__cw_i0")), "left")
+    comment = F.col("__cw_i0").isNotNull() & F.coalesce(F.col(comment_key).startswith("#"), F.lit(False))
+    return both.filter(~comment).select(*columns)
 
 
 def write_tsv(df: DataFrame, path: str, digits: int | None = None, encoding: str = "UTF-8", sep: str = "\t") -> None:
@@ -41,6 +50,14 @@ def missing_inputs(expected: DataFrame, present: DataFrame, key: str = "project"
     return expected.select(key).distinct().join(present.select(key).distinct(), key, "left_anti")
 
 
+def require_inputs(expected: DataFrame, present: DataFrame, key: str = "project") -> DataFrame:
+    """``present`` itself, after every expected project was found in it."""
+    lost = [r[0] for r in missing_inputs(expected, present, key).orderBy(key).limit(20).collect()]
+    if lost:
+        raise ExpectationError(f"no input for {', '.join(map(str, lost))}")
+    return present
+
+
 def unpivot_counts(df: DataFrame, feature: str, fixed: Sequence[str] = ()) -> DataFrame:
     """A dense table with one column per sample as facts ``feature, sample, n`` without zeros."""
     samples = [c for c in df.columns if c != feature and c not in fixed]
