@@ -118,8 +118,11 @@ def sums_of_minima(v: DataFrame, block: int = 512, pair_cost: float = 4.0) -> Da
     return block_sums(v.withColumn("t", F.lit(0.0)), block).select("i", "j", "s")
 
 
-def all_pairs(samples: DataFrame, common: DataFrame) -> DataFrame:
-    """Every pair of a sampled set, with ``s`` 0 where nothing is in common. Meant for a sample of stated size."""
+def all_pairs(samples: DataFrame, common: DataFrame, limit: int = 5000) -> DataFrame:
+    """Every pair of a sampled set of at most ``limit``, which is checked, with ``s`` 0 where nothing is in common."""
+    n = samples.count()
+    if n > limit:
+        raise ValueError(f"{n} samples; draw at most {limit}, or take the pairs with something in common: all others have distance 1")
     a, b = samples.select(F.col("sample").alias("i")), samples.select(F.col("sample").alias("j"))
     return a.join(b, F.col("i") < F.col("j")).join(common, ["i", "j"], "left").select("i", "j", F.coalesce("s", F.lit(0.0)).alias("s"))
 

@@ -149,7 +149,7 @@ def test_pcoa_of_listed_pairs(spark, limit):
 def test_audit_of_all_pairs(spark):
     s = spark.createDataFrame([*SHARES, ("x", "z", 1.0)], "sample string, feature string, share double")
     assert tuple(D.audit(D.bray_curtis(s), s).select("pairs", "least", "mid", "most", "unknown", "out_of_range").head()) == (6, 0.5, 1.0, 1.0, 0, 0)
-    assert tuple(D.audit_all(D.bray_curtis(s), s).head()) == tuple(D.audit(D.bray_curtis(s, every_pair=True)).head())
+    assert tuple(D.audit(D.bray_curtis(s), s).head()) == tuple(D.audit(D.bray_curtis(s, every_pair=True)).head())
 
 
 def test_whole_corpus_is_measured(spark):
@@ -184,3 +184,22 @@ def test_kernels_agree_where_all_samples_share_a_feature(spark):
     for got in (D.pair_sums(v, 7), D.block_sums(v.withColumn("t", F.lit(0.0)), 16), D.sums_of_minima(v, 4), D.sums_of_minima(v, 4, 1e-9)):
         got = {(r.i, r.j): r.s for r in got.collect()}
         assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_paths_in_blocks(spark, block):
+    """Random trees: distances in blocks equal those over common ancestors, whatever the depth and the names' order."""
+    rng = np.random.default_rng(6)
+    nodes = [(0, None, "n0", 0.0)] + [(i, int(rng.integers(max(0, i - 6), i)), f"n{i}", float(rng.integers(0, 5))) for i in range(1, 60)]
+    t = spark.createDataFrame(nodes, "node long, parent long, label string, length double")
+    names = t.filter("node % 2 = 0 or node = 0").select("node", F.col("label").alias("name"))
+    got = {(r.i, r.j): r.dist for r in T.patristic(t, names, block).collect()}
+    want = {(r.i, r.j): r.dist for r in T.patristic_by_ancestors(t, names).collect()}
+    assert set(got) == set(want) and len(got) == 30 * 29 // 2 and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert T.patristic(t, names.limit(0)).count() == 0
+
+
+def test_parents_in_a_circle(spark):
+    t = spark.createDataFrame([(0, 2, "a", 1.0), (1, 0, "b", 1.0), (2, 1, "c", 1.0)], "node long, parent long, label string, length double")
+    with pytest.raises(ValueError, match="circle"):
+        T.closure(t)

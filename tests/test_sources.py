@@ -7,6 +7,7 @@ import pytest
 
 
 from corpusweave.operators.expect import ExpectationError
+from corpusweave.sources import biom
 from corpusweave.sources import bundle as B
 from corpusweave.sources import tabular as S
 from corpusweave.streaming import ingest as I
@@ -20,6 +21,34 @@ def test_tsv(spark, tmp_path):
     assert {tuple(r) for r in S.read_tsv(spark, str(tmp_path / "out"), ["k", "v"]).collect()} >= {("a", "1.23")}
 
 
+def test_only_the_first_row_can_be_a_comment(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "1.tsv").write_text("id\tv\n#types\tx\n#real\t1\n")
+    (tmp_path / "a" / "2.tsv").write_text("id\tv\nplain\t2\n#also real\t3\n")
+    (tmp_path / "a" / "3.tsv").write_text("id\tv\n")
+    assert {tuple(r) for r in S.read_tsv(spark, str(tmp_path / "a"), ["k", "v"], comment_key="k").collect()} == {("#real", "1"), ("plain", "2"), ("#also real", "3")}
+
+
+def test_count_tables(spark, tmp_path):
+    (tmp_path / "s.biom").write_text(biom.biom_text(["f1", "f2"], ["a", "b"], [(0, 0, 2.0), (1, 1, 3.5), (0, 1, 0.0)]))
+    (tmp_path / "d.biom").write_text('{"rows": [{"id": "f"}], "columns": [{"id": "x"}, {"id": "y"}], "matrix_type": "dense", "data": [[0, 4]]}')
+    biom.register(spark)
+    read = lambda p: spark.read.format("biom").load(str(p))
+    assert {tuple(r) for r in read(tmp_path).collect()} == {("s.biom", "f1", "a", 2.0), ("s.biom", "f2", "b", 3.5), ("d.biom", "f", "y", 4.0)}
+    (tmp_path / "bad.biom").write_text(biom.biom_text(["f"], ["x"], [(3, 0, 1.0)]))
+    with pytest.raises(Exception, match="has no name"):
+        read(tmp_path / "bad.biom").collect()
+    with pytest.raises(Exception, match="nothing"):
+        read(tmp_path / "nothing.biom").collect()
+
+
+def test_missing_inputs_fail(spark):
+    have, want = spark.createDataFrame([("a", 1)], "project string, n int"), spark.createDataFrame([("a",), ("b",)], "project string")
+    assert S.require_inputs(want.filter("project = 'a'"), have) is have
+    with pytest.raises(ExpectationError, match="no input for b"):
+        S.require_inputs(want, have)
+
+
 def test_utf16(spark, tmp_path):
     (tmp_path / "u.tsv").write_bytes(b"\xff\xfe" + "name\tn\né\t1\n好\t\n".encode("utf-16-le"))
     got = S.read_tsv(spark, str(tmp_path / "u.tsv"), ["name", "n"], encoding="UTF-16LE").collect()
