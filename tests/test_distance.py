@@ -196,6 +196,18 @@ def test_repeated_eigenvalues_are_all_found(spark):
     assert got == pytest.approx(want, rel=1e-6)
 
 
+def test_quadratic_forms(spark):
+    """Sums over listed pairs from sent coordinates, without a join of pairs and coordinates."""
+    rng = np.random.default_rng(8)
+    s = spark.createDataFrame(corpus(rng, 30, 20, 3), "sample string, feature string, share double")
+    x = {f"s{i:03}": rng.standard_normal(2) for i in range(30)}
+    coords = spark.createDataFrame([(k, [float(z) for z in v]) for k, v in x.items()], "name string, coords array<double>")
+    listed = []
+    got = O.quadratic_forms(lambda n: listed.append(D.bray_curtis(s.join(n, s["sample"] == n["name"]).selectExpr("k AS sample", "feature", "share"))) or listed[0], coords, 2)
+    want = sum(x[r.i] * x[r.j] * (r.dist**2 - 1) for r in D.bray_curtis(s).collect())
+    assert got == pytest.approx(list(want)) and O.quadratic_forms(lambda n: listed[0].limit(0), coords, 2) == [0.0, 0.0]
+
+
 def test_audit_of_all_pairs(spark):
     s = spark.createDataFrame([*SHARES, ("x", "z", 1.0)], "sample string, feature string, share double")
     assert tuple(D.audit(D.bray_curtis(s), s).select("pairs", "least", "mid", "most", "unknown", "out_of_range").head()) == (6, 0.5, 1.0, 1.0, 0, 0)
