@@ -94,6 +94,14 @@ def test_block_sums_equal_pair_sums(spark, block):
     assert D.block_sums(v.limit(0), block).count() == 0
 
 
+def test_blocks_copy_no_rows(spark):
+    """Rows are shuffled once, however many blocks there are."""
+    v = spark.range(400).selectExpr("id AS sample", "explode(array(0, 1 + id % 7)) AS feature", "0.5D AS v", "1.0D AS w", "0.0D AS t")
+    got = D.block_sums(v, 8)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 400 * 399 // 2 and "Exchange" not in plan and "CoGroups" not in plan
+
+
 def line(spark):
     x = {"a": 0.0, "b": 1.0, "c": 3.0}
     return spark.createDataFrame([(i, j, abs(x[i] - x[j])) for i in x for j in x if i < j], "i string, j string, dist double"), x
