@@ -195,6 +195,53 @@ def _written(spark, s):
     return stage.kept[-1]
 
 
+def test_ordination_check_writes_no_list_of_pairs(spark, sf, monkeypatch):
+    """The check of the axes sums up distances in slabs of samples; pairs are neither joined nor shuffled."""
+    from corpusweave.plans import distance as P
+
+    want = P.ordination_check(spark, sf).head()  # the dense matrix of so few samples is of listed pairs
+    monkeypatch.setattr(O.pcoa_bray_curtis, "__defaults__", (10, 0, *O.pcoa_bray_curtis.__defaults__[2:]))
+    for m, f in ((D, "bray_curtis"), (O, "bray_curtis"), (D, "pair_sums"), (D, "block_sums")):
+        monkeypatch.setattr(m, f, lambda *a, **k: pytest.fail("pairs were listed"))
+    got = P.ordination_check(spark, sf).head()
+    assert got == want and got.lengths and got.apart and got.eigen and got.within
+
+
+@pytest.mark.parametrize("most", [1 << 21, 50])
+def test_sums_over_slabs_of_pairs(spark, most):
+    """Forms, stored pairs and the sum of all entries agree with brute force, also when a slab has more pairs than it holds."""
+    rng = np.random.default_rng(12)
+    s = spark.createDataFrame(corpus(rng, 40, 25, 5), "sample string, feature string, share double")
+    g = K.BrayCurtisGram(s)
+    k = {r["name"]: r["k"] for r in g.names.collect()}
+    x, minima = rng.standard_normal((40, 2)), np.zeros((40, 40, 26))
+    by = {}
+    for r in s.collect():
+        by.setdefault(r["feature"], []).append((k[r["sample"]], r["share"]))
+    for f, rows in enumerate(by.values()):
+        for i, a in rows:
+            for j, b in rows:
+                minima[i, j, f] = min(a, b)
+    total = minima.sum(axis=2)
+    want = sum(x[i] * x[j] * ((1 - total[i, j]) ** 2 - 1) for i in range(40) for j in range(i + 1, 40))
+    coords = spark.createDataFrame([(a, [float(z) for z in x[b]]) for a, b in k.items()], "name string, coords array<double>")
+    chunks = lambda: K._chunks(g.facts[0].inputFiles())
+    assert g.forms(coords, 2) == pytest.approx(list(want)) and g.total() == pytest.approx(float((total - total**2 / 2).sum()))
+    assert sum(K._forms(chunks(), q, 3, x, most) for q in range(3)) == pytest.approx(want)
+    got = {(int(i), int(j)): w for q in range(3) for i, j, w in zip(*K._common(chunks(), q, 3, most), strict=True)}
+    extra = total**2 - (minima**2).sum(axis=2)
+    assert got == pytest.approx({(i, j): extra[i, j] for i in range(40) for j in range(i + 1, 40) if extra[i, j] > 1e-12})
+
+
+def test_the_trace_needs_no_product(spark, monkeypatch):
+    """The trace comes from the facts and the stored pairs, without a product of its own."""
+    s = spark.createDataFrame(corpus(np.random.default_rng(3), 60, 40, 6), "sample string, feature string, share double")
+    want = O.pcoa(D.bray_curtis(s), points=s.selectExpr("sample AS name"), missing=1.0)[1].head().trace
+    widths, times = [], K.BrayCurtisGram.times
+    monkeypatch.setattr(K.BrayCurtisGram, "times", lambda g, x: widths.append(x.shape[1]) or times(g, x))
+    assert O.pcoa_bray_curtis(s, dense_limit=0)[1].head().trace == pytest.approx(want, rel=1e-12) and 1 not in widths
+
+
 def test_repeated_eigenvalues_are_all_found(spark):
     """Three equal groups without a pair between them: every eigenvalue within them comes three times."""
     m = np.random.default_rng(5).random((60, 60))
