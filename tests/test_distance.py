@@ -263,6 +263,15 @@ def test_quadratic_forms(spark):
     assert got == pytest.approx(list(want)) and O.quadratic_forms(lambda n: listed[0].limit(0), coords, 2) == [0.0, 0.0]
 
 
+def test_unifrac_in_blocks_reads_the_facts_once(spark):
+    rows = [(f"s{i}", "t1" if i % 2 else "t2", 0.5) for i in range(6)] + [(f"s{i}", "t3", 0.5) for i in range(6)]
+    seen = spark.sparkContext.accumulator(0)
+    shares = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(lambda r: seen.add(1) or r), "sample string, feature string, share double")
+    nodes = tree(spark, [(0, None, "r", 0.0), (1, 0, "a", 2.0), (2, 0, "b", 1.0), (3, 0, "c", 1.0)])
+    tips = spark.createDataFrame([("t1", 1), ("t2", 2), ("t3", 3)], "feature string, node long")
+    assert D.weighted_unifrac(shares, nodes, tips).count() == 15 and seen.value == len(rows)
+
+
 def test_audit_of_all_pairs(spark):
     s = spark.createDataFrame([*SHARES, ("x", "z", 1.0)], "sample string, feature string, share double")
     assert tuple(D.audit(D.bray_curtis(s), s).select("pairs", "least", "mid", "most", "unknown", "out_of_range").head()) == (6, 0.5, 1.0, 1.0, 0, 0)
